@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secret_ledger
+from . import mixing, secret_ledger, sp_codec, url_rules
 from .common import read
 
 
@@ -15,6 +15,23 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge(pages, url_rules.rule_table(spark, url_rules.RULES))
+
+
+OP2_SQL = r"""
+WITH a AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+b AS (SELECT page_id, regexp_extract(rest, '^[^?#]*') AS rest FROM a),
+c AS (SELECT page_id, regexp_extract(rest, '^[^/]*') AS raw, rest FROM b),
+d AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, substr(rest, length(raw) + 1) AS path FROM c),
+r(verdict, rule_host, rule_path) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+m AS (SELECT d.*, r.verdict, rule_host || rule_path AS rule FROM d LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
+n AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) AS best FROM m)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM n WHERE best = 1
+"""
+
+
 OP5_SQL = r"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -40,5 +57,18 @@ def op9_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), count("assign"), count("access"), count("hex"), F.sha2(spans.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op5_source_mixing, op9_secret_ledger)}
-ORACLE_SQL = {"op5_source_mixing": OP5_SQL}
+def op8_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = sp_codec.encode(docs, model_path or default_model())
+    csv = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(csv.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def default_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+QUERIES = {f.__name__: f for f in (op2_url_rules, op5_source_mixing, op8_sentencepiece, op9_secret_ledger)}
+ORACLE_SQL = {"op2_url_rules": OP2_SQL, "op5_source_mixing": OP5_SQL}
