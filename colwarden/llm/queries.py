@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secret_ledger, sp_codec, url_rules
+from . import mixing, quality_bands, secret_ledger, sp_codec, url_rules
 from .common import read
 
 
@@ -32,6 +32,10 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM n W
 """
 
 
+def op3_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_bands.judge(read(spark, sf_dir, "documents"))
+
+
 OP5_SQL = r"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -70,5 +74,5 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-QUERIES = {f.__name__: f for f in (op2_url_rules, op5_source_mixing, op8_sentencepiece, op9_secret_ledger)}
+QUERIES = {f.__name__: f for f in (op2_url_rules, op3_quality_bands, op5_source_mixing, op8_sentencepiece, op9_secret_ledger)}
 ORACLE_SQL = {"op2_url_rules": OP2_SQL, "op5_source_mixing": OP5_SQL}
