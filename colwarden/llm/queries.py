@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_bands, secret_ledger, sp_codec, url_rules
+from . import langid, mixing, quality_bands, secret_ledger, sp_codec, url_rules
 from .common import read
 
 
@@ -68,11 +68,16 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None =
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(csv.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
 def default_model() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-QUERIES = {f.__name__: f for f in (op2_url_rules, op3_quality_bands, op5_source_mixing, op8_sentencepiece, op9_secret_ledger)}
+QUERIES = {f.__name__: f for f in (op2_url_rules, op3_quality_bands, op5_source_mixing, op8_sentencepiece, op9_secret_ledger, op10_language_id)}
 ORACLE_SQL = {"op2_url_rules": OP2_SQL, "op5_source_mixing": OP5_SQL}
