@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, quality_bands, secret_ledger, sp_codec, url_rules
+from . import langid, mixing, quality_bands, secret_ledger, sp_codec, toxicity, url_rules
 from .common import read
 
 
@@ -15,6 +15,11 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judge(pages, url_rules.rule_table(spark, url_rules.RULES))
@@ -79,5 +84,5 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-QUERIES = {f.__name__: f for f in (op2_url_rules, op3_quality_bands, op5_source_mixing, op8_sentencepiece, op9_secret_ledger, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_url_rules, op3_quality_bands, op5_source_mixing, op8_sentencepiece, op9_secret_ledger, op10_language_id)}
 ORACLE_SQL = {"op2_url_rules": OP2_SQL, "op5_source_mixing": OP5_SQL}
