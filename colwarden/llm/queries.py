@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, quality_bands, secret_ledger, sp_codec, toxicity, url_rules
+from . import langid, mixing, neardup, quality_bands, secret_ledger, sp_codec, toxicity, url_rules
 from .common import read
 
 
@@ -41,6 +41,11 @@ def op3_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bands.judge(read(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.groups_of(read(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
 OP5_SQL = r"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -84,5 +89,5 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_url_rules, op3_quality_bands, op5_source_mixing, op8_sentencepiece, op9_secret_ledger, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_url_rules, op3_quality_bands, op4_near_dedup, op5_source_mixing, op8_sentencepiece, op9_secret_ledger, op10_language_id)}
 ORACLE_SQL = {"op2_url_rules": OP2_SQL, "op5_source_mixing": OP5_SQL}
