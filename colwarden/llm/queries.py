@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, neardup, quality_bands, secret_ledger, sp_codec, toxicity, url_rules
+from . import ann, langid, mixing, neardup, quality_bands, secret_ledger, sp_codec, toxicity, url_rules
 from .common import read
 
 
@@ -71,6 +71,10 @@ def op9_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), count("assign"), count("access"), count("hex"), F.sha2(spans.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"))
 
 
+def op6_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     coded = sp_codec.encode(docs, model_path or default_model())
@@ -89,5 +93,5 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_url_rules, op3_quality_bands, op4_near_dedup, op5_source_mixing, op8_sentencepiece, op9_secret_ledger, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_url_rules, op3_quality_bands, op4_near_dedup, op5_source_mixing, op6_ann_search, op8_sentencepiece, op9_secret_ledger, op10_language_id)}
 ORACLE_SQL = {"op2_url_rules": OP2_SQL, "op5_source_mixing": OP5_SQL}

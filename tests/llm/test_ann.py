@@ -1,0 +1,65 @@
+import numpy as np
+import pytest
+
+from colwarden.llm import ann
+from colwarden.llm.queries import op6_ann_search
+
+
+def brute(rows, k, step):
+    good = [(i, np.array(v, np.float64)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    ids, x = np.array([i for i, _ in good]), np.array([v for _, v in good])
+    out = {}
+    for i, v in good:
+        if i % step == 0:
+            s = (x * v).sum(axis=1)
+            order = np.lexsort((ids, -s))
+            out[i] = [(int(ids[j]), float(s[j])) for j in order if ids[j] != i][:k]
+    return out
+
+
+def results(df):
+    out = {}
+    for r in sorted(df.collect()):
+        assert r["rank"] == len(out.setdefault(r["query_id"], [])) + 1
+        out[r["query_id"]].append((r["vec_id"], r["score"]))
+    return out
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, class string")
+
+
+def test_small_tables_are_exact(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(60)]
+    rows += [(100, None), (120, [0.0] * 8), (140, [float("nan")] + [1.0] * 7), (160, [None] + [1.0] * 7), (180, [float("inf")] * 8), (None, [1.0] * 8), (200, [1.0] * 3)]
+    got = results(ann.search(frame(spark, rows), lambda i: i % 20 == 0))
+    want = brute([(i, v) for i, v in rows if not v or len(v) == 8], 20, 20)
+    assert got.keys() == want.keys()
+    for i in got:
+        assert [x[0] for x in got[i]] == [x[0] for x in want[i]] and np.allclose([x[1] for x in got[i]], [x[1] for x in want[i]], rtol=0, atol=1e-12)
+
+
+def test_hot_vector_and_ties(spark):
+    rng = np.random.default_rng(2)
+    hot = rng.normal(size=6).astype(np.float32).tolist()
+    rows = [(i, hot if i % 3 else rng.normal(size=6).astype(np.float32).tolist()) for i in range(900)] + [(40, hot)]
+    got, want = results(ann.search(frame(spark, rows), lambda i: i % 20 == 0)), brute(list(dict(rows).items()), 20, 20)
+    assert got.keys() == want.keys()
+    same = [len({x[0] for x in got[i]} & {x[0] for x in want[i]}) / 20 for i in want]
+    assert np.mean(same) > 0.95 and got[40] == want[40] and got[20] == want[20]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2])
+def test_few(spark, n):
+    rows = [(20 * i, [1.0, float(i)]) for i in range(n)]
+    assert results(ann.search(frame(spark, rows), lambda i: i % 20 == 0)) == {k: v for k, v in brute(rows, 20, 20).items() if v}
+
+
+def test_recall(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = [(r[0], r[1]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    got, want = results(op6_ann_search(spark, sf)), brute(rows, 20, 20)
+    assert got.keys() == want.keys() and all(len(got[i]) == len(want[i]) for i in want)
+    assert np.mean([len({x[0] for x in got[i]} & {x[0] for x in want[i]}) / len(want[i]) for i in want]) > 0.9
+    assert all(abs(s - dict(want[i])[j]) < 1e-12 for i in got for j, s in got[i] if j in dict(want[i]))
