@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, mixing, neardup, quality_bands, secret_ledger, sp_codec, toxicity, url_rules
+from . import ann, langid, mixing, neardup, quality_bands, secret_ledger, sp_codec, toxicity, url_rules, warc
 from .common import read
 
 
@@ -75,6 +75,22 @@ def op6_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+def op7_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+OP7_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS hex FROM p),
+d AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((strpos('0123456789abcdef', substr(hex, (5 * i // 4)::INT + 1, 1)) - 1) * 16
+        + strpos('0123456789abcdef', substr(hex, (5 * i // 4)::INT + 2, 1)) - 1) >> (3 - (5 * i) % 4)::INT) % 32 + 1, 1)), '') AS payload_digest FROM h),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to FROM m
+"""
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     coded = sp_codec.encode(docs, model_path or default_model())
@@ -93,5 +109,5 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_url_rules, op3_quality_bands, op4_near_dedup, op5_source_mixing, op6_ann_search, op8_sentencepiece, op9_secret_ledger, op10_language_id)}
-ORACLE_SQL = {"op2_url_rules": OP2_SQL, "op5_source_mixing": OP5_SQL}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_url_rules, op3_quality_bands, op4_near_dedup, op5_source_mixing, op6_ann_search, op7_warc_normaliser, op8_sentencepiece, op9_secret_ledger, op10_language_id)}
+ORACLE_SQL = {"op2_url_rules": OP2_SQL, "op5_source_mixing": OP5_SQL, "op7_warc_normaliser": OP7_SQL}
