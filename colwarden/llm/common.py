@@ -56,11 +56,15 @@ def _sweep() -> None:
             return
 
 
+#: Tasks that write a spilled table, for each core of the cluster: enough to balance, few enough to keep files large.
+WRITERS_PER_CORE = 4
+
+
 def spill(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write df as Parquet to shared storage and read it back. Lost executors lose nothing of it."""
     spark = df.sparkSession
     path = workspace(spark, name)
-    df.write.parquet(path)
+    df.coalesce(WRITERS_PER_CORE * spark.sparkContext.defaultParallelism).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
