@@ -87,7 +87,7 @@ class Index:
             if d > best * (1 + self.how.ratio) * 1.05 and len(found) >= 4:
                 break
             found.append((d, at))
-            new = [i for i in self.graph[at].tolist() if i not in seen]
+            new = [i for i in dict.fromkeys(self.graph[at].tolist()) if i not in seen]
             if new:
                 seen.update(new)
                 for x, i in zip(distance(new).tolist(), new, strict=True):
@@ -227,7 +227,9 @@ def search(vectors: DataFrame, is_query, how: Settings = Settings(), id_col: str
 
     parts = left.unionByName(right).groupBy("list", "chunk", "block").applyInArrow(nearest, "asked long, ids array<long>, scores array<double>")
     pairs = F.zip_with("ids", "scores", lambda i, s: F.struct((-s).alias("low"), i.alias("id")))
-    best = parts.groupBy("asked").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(pairs)))), 1, most).alias("best"))
+    # a vector is in so many lists at most: what is cut after sorting holds enough distinct ones, and is short
+    near = F.slice(F.array_sort(F.flatten(F.collect_list(pairs))), 1, most * how.copies)
+    best = parts.groupBy("asked").agg(F.slice(F.array_distinct(near), 1, most).alias("best"))
     # from classes back to ids: those of the nearest classes, of which each has one at least
     some = smallest_ids(rows.select("class", "id"), most).join(first.select("class", F.col("id").alias("head")), "class").select("head", "ids")
     each = best.select("asked", F.explode("best").alias("b")).select("asked", "b.low", F.col("b.id").alias("head")).join(some, "head", "left")
