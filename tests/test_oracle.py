@@ -1,0 +1,43 @@
+"""Every query with an oracle returns what DuckDB returns."""
+
+import os
+
+import duckdb
+import numpy as np
+import pytest
+
+import __spark_entry__ as entry_point
+from colwarden.queries import TABLES
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return con
+
+
+def plain(v):
+    if isinstance(v, (list, tuple, np.ndarray)):
+        return [plain(x) for x in v]
+    return v
+
+
+@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
+def test_equals_duckdb(spark, duck, name):
+    got = entry_point.queries()[name](spark, SF)
+    result = duck.execute(entry_point.oracle_sql()[name])
+    columns = [d[0] for d in result.description]
+    assert sorted(columns) == sorted(got.columns)
+    want = result.fetchall()
+    order = [columns.index(c) for c in got.columns]
+    assert sorted(str([plain(v) for v in r]) for r in got.collect()) == sorted(str([plain(r[k]) for k in order]) for r in want)
+
+
+def test_entry(spark):
+    assert entry_point.entry(spark).count() == 1
+    assert os.path.exists(SF) and entry_point.oracle_sql().keys() <= entry_point.queries().keys()
