@@ -1,0 +1,94 @@
+import hashlib
+import re
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from colwarden.llm import mixing
+
+SCHEMA = "doc_id long, text string, source string, size string, Target int"
+
+
+def words(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def targets(sizes, weights=(5, 2, 1), share=1.5, cap=2.0):
+    """By rounds: what is over a cap is divided again among the others, until none is over."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    left, free, out = share * sum(sizes.values()), set(order), {}
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = {s for s in free if weight[s] * level > cap * sizes[s]}
+        if not over:
+            return out | {s: weight[s] * level for s in free}
+        for s in over:
+            out[s] = cap * sizes[s]
+            left -= out[s]
+        free -= over
+    return out
+
+
+def draw(ident, seed="mix"):
+    return int(hashlib.md5(f"{seed}:{'null' if ident is None else ident}".encode()).hexdigest()[:13], 16) / 16**13
+
+
+def check(spark, rows):
+    df = spark.createDataFrame([(i, t, s, "x", 1) for i, t, s in rows], SCHEMA)
+    taken, names = mixing.repetitions(df)
+    got = [(r["doc_id"], r["source"], r[names["size"]], r[names["source_size"]], r[names["target"]], r[names["copies"]]) for r in taken.collect()]
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += words(t)
+    want, goal = [], targets(sizes)
+    for i, t, s in rows:
+        rate = goal[s] / sizes[s] if sizes[s] else 0
+        want.append((i, s, words(t), sizes[s], goal[s], int(rate) + (draw(i) < rate % 1)))
+    assert len(got) == len(want)
+    for g, w in zip(sorted(got, key=str), sorted(want, key=str), strict=True):
+        assert g[:4] == w[:4] and g[5] == w[5] and g[4] == pytest.approx(w[4])
+        assert g[5] <= 2
+    copies = Counter(r["doc_id"] for r in mixing.mix(df).collect())
+    expected = Counter()
+    for w in want:
+        expected[w[0]] += w[5]
+    assert copies == +expected and mixing.mix(df).columns == df.columns
+
+
+def test_odd_rows(spark):
+    check(spark, [(1, "a b c", "x"), (2, None, "x"), (3, "", "y"), (4, "one\x1ctwo three", None), (5, "w " * 30_000, "zé"), (6, "a", "z😀"), (6, "a", "z😀"), (None, "b c", "z￮")])
+    check(spark, [(i, "w " * (1 + i % 5), f"s{i % 7}") for i in range(60)])
+    check(spark, [(1, None, None)])
+
+
+def test_empty(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert mixing.repetitions(empty)[0].count() == mixing.mix(empty).count() == 0
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.dictionaries(st.none() | st.text("abz", max_size=2), st.integers(0, 500), min_size=1, max_size=9))
+def test_targets(spark, sizes):
+    df = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")
+    got = {r["source"]: r["target"] for r in mixing.source_targets(df).collect()}
+    want = targets(sizes)
+    assert got == pytest.approx(want) and sum(got.values()) == pytest.approx(1.5 * sum(sizes.values()))
+
+
+def test_many_sources_are_joined(spark, monkeypatch):
+    rows = [(i, "w w", f"s{i % 5}", "x", 1) for i in range(40)] + [(99, "w", None, "x", 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(map(str, mixing.repetitions(df)[0].collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert sorted(map(str, mixing.repetitions(df)[0].collect())) == want
+
+
+def test_sources_come_near_their_targets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    taken, names = mixing.repetitions(docs)
+    per = taken.groupBy("source").agg(F.sum(F.col(names["copies"]) * F.col(names["size"])).alias("got"), F.first(names["target"]).alias("target")).collect()
+    assert all(abs(r["got"] / r["target"] - 1) < 0.1 for r in per)
