@@ -46,6 +46,21 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))
 
 
+OP4_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+      ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT x AS doc_id, x AS other FROM e UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.other),
+m AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(m.component_id, d.doc_id) AS component_id, coalesce(m.component_id, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id
+"""
+
+
 OP5_SQL = r"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -109,5 +124,23 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _op9_sql() -> str:
+    either = lambda word: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+    words = "|".join(map(either, ("password", "passwd", "secret", "token"))) + f"|{either('api')}_?{either('key')}"
+    # a dollar-quoted text keeps both quotes of the pattern as they are
+    assign = rf"$$({words})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)$$"
+    parts = []
+    for rank, (kind, pattern, group, least) in enumerate((("assign", assign, 2, 6), ("access", "'AKIA[A-Z0-9]+'", 0, 20), ("hex", "'[0-9a-f]+'", 0, 24))):
+        lengths = lambda x: f"list_transform({x}, lambda v: length(v))"
+        parts.append(f"SELECT doc_id, {rank} AS rank, '{kind}' AS kind, {least} AS least, {lengths(f'string_split_regex(t, {pattern})')} AS gap, {lengths(f'regexp_extract_all(t, {pattern})')} AS whole, {lengths(f'regexp_extract_all(t, {pattern}, {group})')} AS size FROM d")
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), k AS ({' UNION ALL '.join(parts)}),
+e AS (SELECT doc_id, rank, kind, gap, whole, unnest(list_filter(range(1, len(size) + 1), lambda i: size[i] >= least)) AS i FROM k),
+s AS (SELECT doc_id, rank, kind, (list_sum(gap[1:i]) + coalesce(list_sum(whole[1:i - 1]), 0))::BIGINT AS pos, whole[i] AS len FROM e),
+a AS (SELECT doc_id, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access, count(*) FILTER (WHERE rank = 2) AS n_hex,
+      string_agg(kind || ':' || pos || ':' || (pos + len), ',' ORDER BY pos, rank) AS spans FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a ON d.doc_id = a.doc_id"""
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_url_rules, op3_quality_bands, op4_near_dedup, op5_source_mixing, op6_ann_search, op7_warc_normaliser, op8_sentencepiece, op9_secret_ledger, op10_language_id)}
-ORACLE_SQL = {"op2_url_rules": OP2_SQL, "op5_source_mixing": OP5_SQL, "op7_warc_normaliser": OP7_SQL}
+ORACLE_SQL = {"op4_near_dedup": OP4_SQL, "op2_url_rules": OP2_SQL, "op5_source_mixing": OP5_SQL, "op7_warc_normaliser": OP7_SQL, "op9_secret_ledger": _op9_sql()}

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import shared_root
+from .common import shared_root, small
 
 #: (verdict, host, path) of the production rule set.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -111,20 +111,20 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
         carried.setdefault(r["part"], []).append((r["key"], r["host"], r["path"], r["verdict"]))
     rules_at = pages.sparkSession.sparkContext.broadcast(carried)
 
-    columns = ["page_id", "host", "path", "rule", "verdict"]
-
     def work(batches: Iterator) -> Iterator:
-        import pandas as pd
+        import pyarrow as pa
 
-        rows = (r for pdf in batches for r in pdf.itertuples(index=False, name=None))
+        schema = pa.schema([("page_id", pa.int64()), *((c, pa.string()) for c in ("host", "path", "rule", "verdict"))])
+        pack = lambda out: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+        rows = (r for batch in small(batches, 4_096) for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
         out: list[tuple] = []
         for part, group in groupby(rows, key=lambda r: r[-1]):
             for made in _sweep((r[:-1] for r in group), rules_at.value.get(part, []), default):
                 out.append(made)
-                if len(out) >= 10_000:
-                    yield pd.DataFrame(out, columns=columns)
+                if len(out) >= 4_096:
+                    yield pack(out)
                     out = []
         if out:
-            yield pd.DataFrame(out, columns=columns)
+            yield pack(out)
 
-    return dealt.mapInPandas(work, "page_id long, host string, path string, rule string, verdict string")
+    return dealt.mapInArrow(work, "page_id long, host string, path string, rule string, verdict string")

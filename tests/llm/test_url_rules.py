@@ -36,6 +36,13 @@ def test_odd_urls(spark):
     check(spark, [], list(ur.RULES))
 
 
+def test_ids_are_kept_exactly(spark):
+    ids = [2**62 + 1, 2**53 + 1, -5, None, 7, 7]
+    df = spark.createDataFrame([(i, "http://a.net/x") for i in ids], "page_id long, url string")
+    got = ur.judge(df, ur.rule_table(spark, ur.RULES)).collect()
+    assert sorted(map(str, (r["page_id"] for r in got))) == sorted(map(str, ids)) and {r["rule"] for r in got} == {"net/"}
+
+
 def test_nested_rules_and_hot_host(spark):
     rules = [("block", "net", ""), ("allow", "b.net", "/x/"), ("block", "a.b.net", "/x/y"), ("allow", "a.b.net", "/"), ("block", "a.b.net", "/"), ("allow", "z", "/")]
     urls = [f"http://{h}/{p}" for h in ("net", "b.net", "a.b.net", "c.a.b.net", "ab.net", "z", "y.z", "y") for p in ("", "x/", "x/y", "x/yy/1", "q")] * 7 + ["http://c.a.b.net/x/y"] * 400
