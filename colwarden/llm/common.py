@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,3 +84,10 @@ def n_words(text: Column | str) -> Column:
     """Words of a text as a long; 0 for null."""
     col = F.col(text) if isinstance(text, str) else text
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def small(batches: Iterator, rows: int = 256) -> Iterator:
+    """Arrow batches cut to a few rows each, so that Python objects are held for those only."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

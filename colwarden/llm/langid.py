@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from .common import small
 
 
 @dataclass(frozen=True)
@@ -143,7 +144,7 @@ def fit(docs: DataFrame, how: Settings = Settings(), id_col: str = "doc_id", tex
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in small(batches):
             found = [slots_of(t, how).astype(np.uint32).tobytes() if has_letter(t) else b"" for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["lang", "spread", "slots"])
 
@@ -168,7 +169,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def work(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in small(batches):
             names, shares = shared.value.predict(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(shares, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from .common import small
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -119,7 +120,7 @@ def judge(docs: DataFrame, bands: Bands = Bands(), id_col: str = "doc_id", text_
         import pyarrow as pa
 
         own, schema = Judge(bands), None
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for ident, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py() or b""

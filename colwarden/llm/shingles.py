@@ -31,7 +31,7 @@ class Sketcher:
 
         class Words(dict):
             def __missing__(own, word: bytes) -> int:  # noqa: N805
-                if len(own) >= 400_000:
+                if len(own) >= 100_000:
                     own.clear()
                 value = digest(word)
                 if len(word) <= 64:

@@ -30,7 +30,7 @@ SPACE = "▁"
 class Codec:
     """Encodes and decodes as the library does, for identity-normalised BPE models with a dummy prefix."""
 
-    def __init__(self, model_path: str, remembered: int = 400_000):
+    def __init__(self, model_path: str, remembered: int = 300_000):
         import ahocorasick
         import sentencepiece
 
@@ -62,16 +62,20 @@ class Codec:
         codec = self
 
         class Known(dict):
-            def __missing__(self, part: str):
+            def __missing__(self, part: str) -> bytes:
                 ids = codec.encode_part(part)
-                value = (array("i", ids).tobytes(), codec.decode_part(ids))
-                if len(part) <= 64:
+                value = array("i", ids).tobytes()
+                if (decoded := codec.decode_part(ids)) != part.replace(SPACE, " ").encode():
+                    codec.odd[part] = decoded
+                elif len(part) <= 64:
                     if len(self) >= codec.remembered:
                         self.clear()
                     self[part] = value
                 return value
 
-        self.known = Known({"": (b"", b"")})
+        self.known = Known({"": b""})
+        #: What parts decode to that do not decode to themselves: characters without a piece, in models without byte pieces.
+        self.odd: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """Plain BPE, for the short texts of pair tests: the best-ranked neighbours merge, the leftmost of equals first."""
@@ -85,7 +89,7 @@ class Codec:
         return parts
 
     def compatible(self, left: int, right: int) -> bool:
-        if len(self.pairs) >= 600_000:
+        if len(self.pairs) >= 400_000:
             self.pairs.clear()
         a, b = self.text[left], self.text[right]
         known = self.pairs[left * self.size + right] = a + b not in self.rank and self.merged(a + b) == [a, b]
@@ -166,9 +170,13 @@ class Codec:
         """(ids as int32, decoded text in UTF-8)."""
         if not text:
             return b"", b""
-        got = [self.known[p] for p in self.parts(text)]
-        decoded = b"".join([x[1] for x in got])
-        return b"".join([x[0] for x in got]), decoded[1:] if decoded[:1] == b" " else decoded
+        parts = self.parts(text)
+        ids = b"".join(map(self.known.__getitem__, parts))
+        if not self.odd:  # each part was decoded when it was met first, and came back as it was
+            return ids, text.replace(SPACE, " ").encode()
+        decoded = b"".join([self.odd.get(p) or p.replace(SPACE, " ").encode() for p in parts])
+        self.odd.clear()
+        return ids, decoded[1:] if decoded[:1] == b" " else decoded
 
     def decode(self, ids: list[int]) -> str:
         text = self.decode_part(ids)

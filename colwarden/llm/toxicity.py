@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from .common import small
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -73,7 +74,7 @@ class Model:
             def __missing__(own, token: str):  # noqa: N805
                 hits = tuple((h, self.weights[h]) for h in map(hashed, features_of(token)) if h in self.weights)
                 if len(token) <= 64:
-                    if len(own) >= 400_000:
+                    if len(own) >= 200_000:
                         own.clear()
                     own[token] = hits
                 return hits
@@ -167,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, how: Settings = Settings(), id_col:
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in small(batches):
             found = []
             for text in batch.column(2).to_pylist():
                 distinct = {f for token in set((text or "").split()) for f in features_of(token)}
@@ -189,7 +190,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         import pyarrow as pa
 
         own = shared.value.scorer()
-        for batch in batches:
+        for batch in small(batches):
             p = [own(t) for t in batch.column(1).to_pylist()]
             grade = [sum(v > 0.5 for v in x) for x in p]
             yield pa.RecordBatch.from_arrays(
@@ -210,7 +211,7 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
         import pyarrow as pa
 
         own = shared.value.scorer()
-        for batch in batches:
+        for batch in small(batches):
             yield batch.filter(pa.array([not any(v > 0.5 for v in own(t)) for t in batch.column(place).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)
