@@ -10,10 +10,16 @@ from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
 
+#: Rows of an Arrow batch, where the session has Spark's default: rows may hold long texts or whole archives.
+BATCH_ROWS = 1_000
+_BATCH, _DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
 
 def ship(spark: SparkSession) -> None:
-    """Send the package's source to the executors, once for each application."""
+    """Send the package's source to the executors, once for each application, and keep Arrow batches small."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH, _DEFAULT) == _DEFAULT:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     if context.applicationId in _shipped:
         return
     home = Path(__file__).resolve().parent
