@@ -74,7 +74,7 @@ def test_dense_group_near_the_threshold(spark):
     other = [f"v{i}" for i in range(400)]
     rows += [(1000 + i, " ".join(edited(rng, other, 0.01))) for i in range(40)]
     rows += [(2000 + i, " ".join(rng.choice(base) for _ in range(80))) for i in range(60)]
-    check(spark, rows, block=50)
+    check(spark, rows, block=(50, 6_000))
 
 
 def test_components(spark):

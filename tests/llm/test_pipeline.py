@@ -70,3 +70,24 @@ def test_real_table(spark):
     got = corpus_pipeline.run(spark, sf).collect()
     assert len(got) > 100 and all(r["decodes"] for r in got)
     assert toxicity.Settings().per_label > len(labels)
+
+
+EXTRA = "doc_id long, text string, lang string, source string, n_chars long, size string, copies int, blob string, spans string, node long, id long, label int, target double, gone_id long, severity double, first int, hit int"
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Nulls in every column, repeated rows and extra columns with names that stages use inside."""
+    extra = ("x", 1, "b", "s", 2, 3, 4, 5.0, 6, 7.0, 8, 9)
+    texts = ["", None, "one", "token=abcdef12 token=abcdef12", "w " * 3000, "same text of five words here", "same text of five words here"]
+    rows = [(i, t, "en", "s", 1, *extra) for i, t in enumerate(texts)] * 2 + [(None, "null id text of its own", None, None, None, *[None] * len(extra)), (None, None, None, None, None, *extra)]
+    labels = spark.createDataFrame([(0, 0, 0), (2, 1, 1), (None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"file://{tmp_path}/labels.parquet")
+    for table in (rows, []):
+        docs = spark.createDataFrame(table, EXTRA)
+        for name, stage in corpus_pipeline.STAGES:
+            before, docs = docs, stage(spark, docs, f"file://{tmp_path}").cache()
+            if name != "tokens":
+                assert docs.schema.names == before.schema.names, name
+            assert docs.count() == 0 if not table else docs.count() > 0, name
+    once = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, EXTRA), "").collect()
+    assert sorted(str(r["doc_id"]) for r in once) == ["0", "1", "2", "3", "4", "5", "None", "None"]
