@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+_folders: list[tempfile.TemporaryDirectory] = []
 
 #: Rows of an Arrow batch, where the session has Spark's default: rows may hold long texts or whole archives.
 BATCH_ROWS = 1_000
@@ -23,7 +24,9 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _shipped:
         return
     home = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="colwarden-")) / "colwarden_src.zip"
+    folder = tempfile.TemporaryDirectory(prefix="colwarden-")
+    _folders.append(folder)  # it goes when the driver ends
+    target = Path(folder.name) / "colwarden_src.zip"
     with zipfile.ZipFile(target, "w") as z:
         for p in sorted(home.rglob("*.py")):
             z.write(p, p.relative_to(home.parent))
