@@ -7,9 +7,9 @@ one sweep per partition keeps a stack of the rules whose interval is open. Each
 host's rules by length, and a url asks the stack from all open hosts for its longest path prefixes.
 
 Partitions are cut by (key, path, id), so a host with a third of all rows spreads over many of them. A rule that opens in
-one partition may be open in later ones; the first key of each partition names its open ancestors, so those rules (few per
-partition: as many as the key has labels) are looked up and put on the stack before the sweep. Nothing else is broadcast,
-and the rule set may be as large as the urls.
+one partition may be open in later ones; the first key of each partition names its open ancestors, so those rules are joined
+to that partition and put on the stack before its sweep. Nothing is broadcast or collected, and the rule set may be as
+large as the urls.
 
 Defined results: a url that is null or has no ``://`` has an empty host and path, which no rule fits; ports and user names
 are part of the host as written; the longest rule (host and path together) wins, then the longer host, then block over
@@ -51,7 +51,7 @@ def rule_table(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> Da
     return spark.createDataFrame(list(rules), "verdict string, host string, path string")
 
 
-def _sweep(rows: Iterator[tuple], open_at_start: list[tuple], default: str) -> Iterator[tuple]:
+def _sweep(rows: Iterator[tuple], default: str) -> Iterator[tuple]:
     """rows: (key, is_rule, id, host, path, verdict), sorted with rules first among equal keys."""
     stack: list[tuple[str, str, dict[str, str], list[int]]] = []  # key, host, verdict by path, path lengths in descending order
 
@@ -67,8 +67,6 @@ def _sweep(rows: Iterator[tuple], open_at_start: list[tuple], default: str) -> I
             lengths.append(len(path))
             lengths.sort(reverse=True)
 
-    for key, host, path, verdict in sorted(open_at_start):
-        open_rule(key, host, path, verdict)
     for key, is_rule, ident, host, path, verdict in rows:
         if is_rule:
             open_rule(key, host, path, verdict)
@@ -106,10 +104,9 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     dots = F.filter(F.sequence(F.lit(1), F.char_length("first")), lambda i: F.substring("first", i, 1) == ".")
     above = F.transform(dots, lambda i: F.substring(F.col("first"), F.lit(1), i))
     ancestors = firsts.where("first <> ''").select("part", F.explode(above).alias("key"))
-    carried: dict[int, list[tuple]] = {}
-    for r in dealt.where("is_rule").select("key", "host", "path", "verdict").join(ancestors, "key").collect():
-        carried.setdefault(r["part"], []).append((r["key"], r["host"], r["path"], r["verdict"]))
-    rules_at = pages.sparkSession.sparkContext.broadcast(carried)
+    carried = dealt.where("is_rule").drop("part").join(ancestors, "key").select(*dealt.columns)
+    # rules sort before what they cover, carried ones before all else of the partition
+    swept = dealt.unionByName(carried).repartition(parts, "part").sortWithinPartitions("part", "key", F.desc("is_rule"))
 
     def work(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -118,8 +115,8 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
         pack = lambda out: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
         rows = (r for batch in small(batches, 4_096) for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
         out: list[tuple] = []
-        for part, group in groupby(rows, key=lambda r: r[-1]):
-            for made in _sweep((r[:-1] for r in group), rules_at.value.get(part, []), default):
+        for _, group in groupby(rows, key=lambda r: r[-1]):
+            for made in _sweep((r[:-1] for r in group), default):
                 out.append(made)
                 if len(out) >= 4_096:
                     yield pack(out)
@@ -127,4 +124,4 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
         if out:
             yield pack(out)
 
-    return dealt.mapInArrow(work, "page_id long, host string, path string, rule string, verdict string")
+    return swept.mapInArrow(work, "page_id long, host string, path string, rule string, verdict string")
