@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -51,10 +52,14 @@ def workspace(spark: SparkSession, name: str) -> str:
 def _sweep() -> None:
     spark = SparkSession.getActiveSession()
     while _folders:
-        try:
-            remove(spark, _folders.pop())
-        except Exception:  # the session may be gone by now; what is left is temporary anyway  # noqa: BLE001
-            return
+        path = _folders.pop()
+        if path.startswith("file:"):
+            shutil.rmtree(path.removeprefix("file:").replace("///", "/"), ignore_errors=True)
+        elif spark is not None:
+            try:
+                remove(spark, path)
+            except Exception:  # the session may be ending; what is left is temporary anyway  # noqa: BLE001
+                return
 
 
 #: Tasks that write a spilled table, for each core of the cluster: enough to balance, few enough to keep files large.

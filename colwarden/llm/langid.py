@@ -133,7 +133,7 @@ def fit(docs: DataFrame, how: Settings = Settings(), id_col: str = "doc_id", tex
     """Fit on a bounded sample of the rows outside fold 1 that have a language."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    rows = rows.where((fold_of("id") != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = rows.where((fold_of("id") != 1) & F.col("lang").isNotNull())  # counted without reading a text
     per = {r["lang"]: r["n"] for r in rows.groupBy("lang").count().withColumnRenamed("count", "n").orderBy(F.desc("n"), "lang").limit(512).collect()}
     spread = F.pmod(F.xxhash64("id", F.lit(how.seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     rate = F.lit(0.0)
@@ -149,7 +149,7 @@ def fit(docs: DataFrame, how: Settings = Settings(), id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["lang", "spread", "slots"])
 
     # slots, not texts, go to the driver: no row has more than how.slots of them
-    drawn = rows.withColumn("spread", spread).where(F.col("spread") < rate).select("lang", "spread", "text")
+    drawn = rows.where(F.col("text").isNotNull()).withColumn("spread", spread).where(F.col("spread") < rate).select("lang", "spread", "text")
     got = sorted(tuple(r) for r in drawn.mapInArrow(work, "lang string, spread double, slots binary").collect() if r["slots"])
     import numpy as np
 
