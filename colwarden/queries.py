@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,8 @@ from .functions import scalar
 from .operators import compare, report, slim, verify
 from .plans.contract import CONTRACT_FIELDS, EARLIER_CONTRACT_FIELDS, ETL_FIELDS, PROBED_FIELD, relation, values_sql
 from .sources.archive import archive_headers
-from .streaming.landing import first_ends
+from .sources.jobs import ExportRequest
+from .streaming.landing import first_ends, within_limit
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +36,10 @@ wanted(pos, field) AS (VALUES {values_sql(EVENT_CONTRACT)}),
 found(field) AS (SELECT column_name FROM (DESCRIBE events))"""
 
 
+REQUEST_SCHEMA = """filters STRUCT<prime_award_types: ARRAY<STRING>, date_type: STRING, date_range: STRUCT<start_date: STRING, end_date: STRING>,
+agencies: ARRAY<STRUCT<type: STRING, tier: STRING, name: STRING>>>, file_format STRING"""
+
+
 def query(sql: str | None = None):
     def add(f: Query) -> Query:
         QUERIES[f.__name__] = f
@@ -200,6 +206,26 @@ def header_normalise(spark, sf_dir):
     return texts(spark, HEADERS).select("i", scalar.clean_name(F.col("s")).alias("name"))
 
 
+@query(f"""SELECT user_id, CASE WHEN ended_at IS NULL OR ended_at >= TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 2880 MINUTE THEN 'timed out' ELSE state END AS state, ended_at FROM (
+SELECT user_id, coalesce(arg_min(state, (ts, event_id)) FILTER (WHERE state <> 'pending'), 'pending') AS state,
+min(ts) FILTER (WHERE state <> 'pending') AS ended_at FROM (SELECT *, {_REPLAY} AS state FROM events) GROUP BY user_id)""")
+def poll_within_limit(spark, sf_dir):
+    return within_limit(poll_first_terminal(spark, sf_dir), F.lit("2024-01-01").cast("timestamp_ntz"), 2880)
+
+
+@query("SELECT event_id, (props->>'$.k')::BIGINT AS k, props->>'$.status' AS status FROM events")
+def json_parse(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k BIGINT, status STRING").alias("d")).select("event_id", "d.k", "d.status")
+
+
+@query("""SELECT to_json({'filters': {'prime_award_types': ['A', 'B', 'C', 'D', 'IDV_A', 'IDV_B', 'IDV_B_A', 'IDV_B_B', 'IDV_B_C', 'IDV_C', 'IDV_D', 'IDV_E'],
+'date_type': 'action_date', 'date_range': {'start_date': '2025-09-22', 'end_date': '2025-09-24'},
+'agencies': [{'type': 'awarding', 'tier': 'toptier', 'name': 'All'}]}, 'file_format': 'csv'})::VARCHAR AS document""")
+def request_document(spark, sf_dir):
+    request = ExportRequest.sample(date(2025, 9, 24)).document()
+    return spark.createDataFrame([request], REQUEST_SCHEMA).select(F.to_json(F.struct("filters", "file_format")).alias("document"))
+
+
 @query("SELECT event_id, strftime(ts::DATE - INTERVAL 2 DAY, '%Y-%m-%d') AS start_date, strftime(ts::DATE, '%Y-%m-%d') AS end_date FROM events")
 def sample_window(spark, sf_dir):
     day = F.col("ts").cast("date")
