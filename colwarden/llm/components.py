@@ -19,9 +19,11 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
     now, mark = spill(now, name), None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("low"))
+        # written before they are joined: a join of two plain shuffles may be split where a node is a hub
+        low = spill(both.groupBy("a").agg(F.min("b").alias("low")), "low")
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "low").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
+        large = spill(large, "large")
+        low = spill(large.groupBy("a").agg(F.min("b").alias("low")), "low")
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("x")).select("x.*").where("a > b").distinct()
         now = spill(small, name)
         new = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())

@@ -8,7 +8,7 @@
    similarity, on whole sets, give components.
 4. Keys whose members are still in several components may hide links between others than the star's centre. Their classes
    are joined exactly: two sets similar enough share one of their rarest shingles (prefix filter), so classes that share
-   such a shingle with another component are put together, dealt into blocks, and blocks are compared two at a time by
+   such a shingle with another component are put together, dealt into blocks of a bounded number of sets and shingles, and blocks are compared two at a time by
    matrix products, across components only. One link is returned for each two components in a pair of blocks.
 5. Components are closed again and carried to all documents.
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import spill
+from .common import small, spill
 from .components import components
 from .shingles import Sketcher, Tensor
 
@@ -46,7 +46,7 @@ def sketches(docs: DataFrame, how: Tensor, id_col: str, text_col: str) -> DataFr
         import xxhash
 
         sketcher = Sketcher(how)
-        for batch in batches:
+        for batch in small(batches):
             size, node, tuples = [], [], []
             for text in batch.column(1):
                 s = sketcher.shingles(text.as_py())
@@ -61,7 +61,8 @@ def sketches(docs: DataFrame, how: Tensor, id_col: str, text_col: str) -> DataFr
 def keys_of(classes: DataFrame, how: Tensor) -> DataFrame:
     """(key, node) of the tables' keys; keys of tuples that one class alone has are left out."""
     each = classes.select("node", F.posexplode("tuples").alias("at", "tuple"))
-    shared = each.groupBy("tuple").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("tuple")
+    # here and below, what is joined back by a key is written first: a join of two plain shuffles may be split at a hot key
+    shared = spill(each.groupBy("tuple").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("tuple"), "shared")
     some = each.join(shared, "tuple").groupBy("node").agg(
         F.collect_set(F.when(F.col("at") < how.collection, F.col("tuple"))).alias("first"), F.collect_set(F.when(F.col("at") >= how.collection, F.col("tuple"))).alias("second")
     )
@@ -82,11 +83,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, how: Tensor, id_col: str, text_c
         import xxhash
 
         sketcher = Sketcher(how)
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                sets = [sketcher.shingles(t.as_py()) for t in batch.column(1).slice(k, 512)]
-                nodes = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([s.view("int64") for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
+        for batch in small(batches):
+            sets = [sketcher.shingles(t.as_py()) for t in batch.column(1)]
+            nodes = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([s.view("int64") for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
 
     found = rows.mapInArrow(work, "node long, shingles array<long>")
     # an id may stand for several texts, and a text for several ids
@@ -103,22 +103,23 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.size("s") + F.size("t") - common)).select("a", "b")
 
 
-def rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+def rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, block: tuple[int, int]) -> DataFrame:
     """Links (a, b) between components that share a key: step 4."""
     labelled = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    open_keys = spill(labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key"), "keys")
     left = spill(labelled.join(open_keys, "key", "left_semi").select("node", "label").distinct(), "open")
     own = sets.join(left, "node")
     tokens = own.select("node", "label", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    df = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    df = spill(tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "rarity")
     # shingles of one class alone come first in order of rarity: they only use up places of the prefix
     shared = tokens.join(df, "shingle").groupBy("node", "label", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("rare"))
     place = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("rare"))
     prefix = spill(shared.where(place > 0).select("node", "label", F.explode(F.slice("rare", 1, place.cast("int"))).alias("x")).select("node", "label", "x.shingle"), "prefix")
-    ends = prefix.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("b")).where("low < high")
+    ends = spill(prefix.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("b")).where("low < high").select("shingle", "b"), "ends")
     groups = components(prefix.join(ends, "shingle").select(F.col("node").alias("a"), "b"), "groups").withColumnRenamed("label", "group")
-    size = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    dealt = groups.join(size, "group").join(left, "node").join(sets, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    each = spill(groups.join(left, "node").join(sets, "node"), "contested")
+    size = each.groupBy("group").agg(F.ceil(F.greatest(F.count(F.lit(1)) / block[0], F.sum(F.size("shingles")) / block[1])).cast("int").alias("blocks"))
+    dealt = each.join(spill(size, "blocks"), "group").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = dealt.select("group", "node", "label", "own", "shingles", other.alias("other")).select("group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "shingles")
 
@@ -158,12 +159,13 @@ def rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, b
     return dealt.groupBy("group", "i", "j").applyInArrow(compare, "a long, b long")
 
 
-def groups_of(docs: DataFrame, how: Tensor = Tensor(), percent: int = 80, block: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def groups_of(docs: DataFrame, how: Tensor = Tensor(), percent: int = 80, block: tuple[int, int] = (256, 60_000), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component) for every row of docs. component: the smallest id linked, over any number of links."""
     sigs = spill(sketches(docs, how, id_col, text_col), "sketches")
     classes = spill(sigs.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("tuples").alias("tuples")), "classes")
     keys = keys_of(classes, how)
-    leaders = keys.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "leader")
+    keys = spill(keys, "keys")
+    leaders = spill(keys.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "leader"), "leaders")
     members = spill(keys.join(leaders, "key"), "members")
     sets = spill(sets_of(docs, classes.join(members.select("node").distinct(), "node", "left_semi").select("id", "node"), how, id_col, text_col), "sets")
     stars = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
@@ -175,7 +177,7 @@ def groups_of(docs: DataFrame, how: Tensor = Tensor(), percent: int = 80, block:
     else:
         final = spill(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more), "closed"), "labels")
     named = classes.select("node", "id").join(final, "node", "left").select("node", "id", F.coalesce("label", "node").alias("label"))
-    lowest = named.groupBy("label").agg(F.min("id").alias("component"))
+    lowest = spill(named.groupBy("label").agg(F.min("id").alias("component")), "lowest")
     of_node = named.join(lowest, "label").select("node", "component")
     joined = sigs.select("id", "n_shingles", "node").join(of_node, "node", "left")
     return joined.select("id", "n_shingles", F.coalesce("component", "id").alias("component"))
