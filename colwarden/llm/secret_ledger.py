@@ -2,8 +2,8 @@
 
 Every text is a blob named by its SHA-256. A ledger holds one row for each (blob, rule, rule version) ever scanned, with
 or without findings. A scan hashes all texts, keeps one row per blob, drops those pairs that the ledger has, runs the rules
-on what is left, and joins findings back to every row that holds the blob. Text is moved once, for unseen blobs' keys
-only in the small side, keyed by (blob, row id): a blob with a third of all rows does not meet in one task there. The join
+on what is left, and joins findings back to every row that holds the blob. Text is moved once, keyed by blob and row id,
+so a blob with a third of all rows does not meet in one task. The join
 back carries ids and findings only and may be split by adaptive execution where a blob is hot.
 
 Defined results: a null text is an empty one, without findings; every input row returns once, repeated rows included;
@@ -105,7 +105,8 @@ def findings(keys: DataFrame, entries: DataFrame, rules: tuple[Rule, ...] = RULE
     """(id, blob, spans) for every row of keys: spans array<struct<start, rank, end, kind>>, by start, then rank of the rule."""
     rank = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))])
     each = entries.where(F.size("spans") > 0).select("blob", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), rank[F.col("rule")].alias("rank"), s["end"].alias("end"), F.col("rule").alias("kind"))).alias("spans"))
-    per_blob = each.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    # written before it is joined: a join of two plain shuffles may be split at a hot blob
+    per_blob = spill(each.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")), "found")
     empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     return keys.join(per_blob, "blob", "left").select("id", "blob", F.coalesce("spans", empty).alias("spans"))
 

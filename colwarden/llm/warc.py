@@ -185,6 +185,7 @@ def write_monolithic(pages: DataFrame, folder: str, id_col: str = "page_id", url
 def revisits(index: DataFrame) -> DataFrame:
     """(file, seqs, refers_to) for every file of index: which of its records repeat another's payload, and whose."""
     last = index.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("page_id", "file", "seq")).alias("last")).where("n > 1").select("digest", "last")
+    last = spill(last, "last")  # a join of two plain shuffles may be split at a hot digest
     again = index.join(last, "digest").where("file <> last.file OR seq <> last.seq")
     name = F.concat(F.coalesce(F.col("last.page_id").cast("string"), F.lit("null")), F.lit(":"), F.substring("last.file", 6, 8), F.lit("-"), F.col("last.seq"))
     each = index.select("file", F.lit(None).cast("int").alias("seq"), F.lit(None).cast("string").alias("name")).distinct().unionByName(again.select("file", "seq", name.alias("name")))
