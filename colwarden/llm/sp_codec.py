@@ -30,7 +30,7 @@ SPACE = "▁"
 class Codec:
     """Encodes and decodes as the library does, for identity-normalised BPE models with a dummy prefix."""
 
-    def __init__(self, model_path: str, remembered: int = 300_000):
+    def __init__(self, model_path: str, remembered: int = 600_000):
         import ahocorasick
         import sentencepiece
 
