@@ -64,7 +64,7 @@ def test_ordered_labels_are_used_as_grades():
     for _ in range(600):
         y = rng.choice([0, 1, 2])
         words = {"calm", rng.choice(["a", "b", "c"])} | ({"rude"} if y else set()) | ({"vile"} if y == 2 else set())
-        data.append((np.array([tx.hashed(w) for w in words], np.uint64), y))
+        data.append((np.array([tx.hashed(w) for w in words], np.uint32), y))
     score = tx.train(data).scorer()
     low, mid, high = (sum(score(t)) for t in ("calm a", "calm a rude", "calm a rude vile"))
     assert low < 0.3 < 0.7 < mid < 1.3 < 1.7 < high
