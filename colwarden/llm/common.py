@@ -63,7 +63,7 @@ def _sweep() -> None:
 
 
 #: Tasks that write a spilled table, for each core of the cluster: enough to balance, few enough to keep files large.
-WRITERS_PER_CORE = 4
+WRITERS_PER_CORE = 2
 
 
 def spill(df: DataFrame, name: str) -> DataFrame:
