@@ -25,11 +25,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import small, spill
+from .common import fresh, small, spill
 from .components import components
 from .shingles import Sketcher, Tensor
 
@@ -37,8 +37,13 @@ from .shingles import Sketcher, Tensor
 BROADCAST_IDS = 500_000
 
 
+def mark_of(text_col: str) -> Column:
+    """Tells texts of one id apart."""
+    return F.xxhash64(F.col(text_col).cast("binary"))
+
+
 def sketches(docs: DataFrame, how: Tensor, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_shingles, node, tuples); node is null for an empty set."""
+    """(id, mark, n_shingles, node, tuples); mark is a digest of the text, node is null for an empty set."""
     ship(docs.sparkSession)
 
     def work(batches: Iterator) -> Iterator:
@@ -48,14 +53,14 @@ def sketches(docs: DataFrame, how: Tensor, id_col: str, text_col: str) -> DataFr
         sketcher = Sketcher(how)
         for batch in small(batches):
             size, node, tuples = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 s = sketcher.shingles(text.as_py())
                 size.append(len(s))
                 node.append(None if not len(s) else xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63))
                 tuples.append(sketcher.tuples(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(tuples, pa.list_(pa.int64()))], names=["id", "n_shingles", "node", "tuples"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(tuples, pa.list_(pa.int64()))], names=["id", "mark", "n_shingles", "node", "tuples"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary")).mapInArrow(work, "id long, n_shingles long, node long, tuples array<long>")
+    return docs.select(F.col(id_col).cast("long").alias("id"), mark_of(text_col).alias("mark"), F.col(text_col).cast("binary")).mapInArrow(work, "id long, mark long, n_shingles long, node long, tuples array<long>")
 
 
 def keys_of(classes: DataFrame, how: Tensor) -> DataFrame:
@@ -160,9 +165,13 @@ def rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, b
 
 
 def groups_of(docs: DataFrame, how: Tensor = Tensor(), percent: int = 80, block: tuple[int, int] = (256, 60_000), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component) for every row of docs. component: the smallest id linked, over any number of links."""
+    """(id, n_shingles, component, mark, stays) for every row of docs. component: the smallest id linked, over any number of links.
+
+    mark is the digest of the row's text; stays is false where the row's group has an id and the row is not the document,
+    an id and a text, that stands for it.
+    """
     sigs = spill(sketches(docs, how, id_col, text_col), "sketches")
-    classes = spill(sigs.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("tuples").alias("tuples")), "classes")
+    classes = spill(sigs.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.min(F.when(F.col("id").isNotNull(), F.struct("id", "mark"))).alias("head"), F.first("tuples").alias("tuples")), "classes")
     keys = keys_of(classes, how)
     keys = spill(keys, "keys")
     leaders = spill(keys.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "leader"), "leaders")
@@ -176,24 +185,29 @@ def groups_of(docs: DataFrame, how: Tensor = Tensor(), percent: int = 80, block:
         final = labels
     else:
         final = spill(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more), "closed"), "labels")
-    named = classes.select("node", "id").join(final, "node", "left").select("node", "id", F.coalesce("label", "node").alias("label"))
-    lowest = spill(named.groupBy("label").agg(F.min("id").alias("component")), "lowest")
-    of_node = named.join(lowest, "label").select("node", "component")
-    joined = sigs.select("id", "n_shingles", "node").join(of_node, "node", "left")
-    return joined.select("id", "n_shingles", F.coalesce("component", "id").alias("component"))
+    named = classes.select("node", "head").join(final, "node", "left").select("node", "head", F.coalesce("label", "node").alias("label"))
+    lowest = spill(named.groupBy("label").agg(F.min("head").alias("head")), "lowest")  # null: no row of the group has an id
+    of_node = named.select("node", "label").join(lowest, "label").select("node", "head")
+    joined = sigs.select("id", "mark", "n_shingles", "node").join(of_node, "node", "left")
+    stays = F.col("head").isNull() | (F.col("id").eqNullSafe(F.col("head.id")) & (F.col("mark") == F.col("head.mark")))
+    return joined.select("id", "n_shingles", F.coalesce("head.id", "id").alias("component"), "mark", stays.alias("stays"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs, all columns, one document of each group: that with the smallest id.
+    """docs, all columns, one document of each group: that with the smallest id, and of its texts one.
 
-    Rows of one id stand or fall together, and one of them stays. Rows with a null id stay unless their group has an id.
+    An id may stand for several texts: each is kept or dropped with its own group. Rows of equal id and text stand or fall
+    together, and one of them stays. Rows with a null id stay unless their group has an id.
     """
     found = spill(groups_of(docs, id_col=id_col, text_col=text_col, **options), "groups")
-    gone = found.where("id <> component OR (id IS NULL AND component IS NOT NULL)").select(F.col("id").alias("gone_id")).distinct()
-    again = found.where("id = component").groupBy(F.col("id").alias("again_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("again_id")
+    gone = found.where("NOT stays").select(F.col("id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct()
+    again = found.where("stays AND id IS NOT NULL").groupBy(F.col("id").alias("again_id"), F.col("mark").alias("again_mark")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("again_id", "again_mark")
     gone, again = (F.broadcast(x) if x.count() <= BROADCAST_IDS else x for x in (spill(gone, "gone"), spill(again, "again")))
-    stay = docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]), "left_anti")
+    (mark,) = fresh(docs, "mark")
+    own, marked = [F.col(f"`{c}`") for c in docs.columns], docs.withColumn(mark, mark_of(text_col))
+    stay = marked.join(gone, marked[id_col].eqNullSafe(gone["gone_id"]) & (marked[mark] == gone["gone_mark"]), "left_anti")
     if again.isEmpty():
-        return stay
-    once = stay.join(again, stay[id_col] == again["again_id"], "left_semi").dropDuplicates([id_col])
-    return stay.join(again, stay[id_col] == again["again_id"], "left_anti").unionByName(once)
+        return stay.select(*own)
+    repeated = (stay[id_col] == again["again_id"]) & (stay[mark] == again["again_mark"])
+    once = stay.join(again, repeated, "left_semi").dropDuplicates([id_col, mark])
+    return stay.join(again, repeated, "left_anti").unionByName(once).select(*own)

@@ -62,6 +62,19 @@ def test_odd_rows(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(map(str, [1, 2, 3, 4, 6, 7, 9, 10, 11, 12, 13]))
 
 
+def test_texts_of_one_id_are_judged_each_by_its_group(spark):
+    rows = [(1, "a b c d"), (None, "A b c d"), (None, "alone here"), (None, "alone too"), (None, None)]
+    rows += [(2, "e f g h"), (3, "E f g h"), (3, "own text of three"), (4, "one text of four"), (4, "another text of it")]
+    rows += [(5, "copies of one id"), (5, "COPIES of one id"), (6, "said twice over"), (6, "said twice over"), (7, ""), (7, ""), (7, "not empty at all")]
+    df = check(spark, rows)
+    kept = sorted((str(r["doc_id"]), (r["text"] or "").lower()) for r in neardup.keep_first(df).collect())
+    gone = [(None, "A b c d"), (3, "E f g h"), (5, "COPIES of one id"), (6, "said twice over"), (7, "")]
+    want = list(rows)
+    for row in gone:
+        want.remove(row)
+    assert kept == sorted((str(i), (t or "").lower()) for i, t in want)
+
+
 def test_empty(spark):
     check(spark, [])
 
