@@ -3,7 +3,8 @@
 A text is compressed by zstandard as a whole and in fixed chunks. Text that repeats itself compresses far better than
 prose of its length, random characters far worse; as short texts compress worse than long ones, each length class has its
 own band of accepted ratios (original size over compressed size). A text is rejected if its whole ratio leaves the band of
-its length, or if more than a share of its full chunks leave the band of the chunk size. Words, repeated windows, symbols
+its length, or if more than a share of its bytes lie in chunks that leave their band: that of full chunks, or for what is
+left at the end, the band of its length. A text shorter than a chunk is a chunk of its own. Words, repeated windows, symbols
 and lines are counted over the whole text, next to it.
 
 Defined results: null is a text without words; counts of it are 0, its ratios null, and base_failed is true as it has fewer
@@ -53,21 +54,25 @@ class Judge:
         self.bands = bands
         self.compress = zstandard.ZstdCompressor(level=bands.level, write_content_size=False, write_checksum=False).compress
 
-    def ratios(self, text: bytes) -> tuple[float | None, int, int]:
-        """Ratio of the whole, full chunks, chunks outside the band."""
+    def ratios(self, text: bytes) -> tuple[float | None, int, int, int]:
+        """Ratio of the whole, chunks, chunks outside their band, bytes in these."""
         if not text:
-            return None, 0, 0
-        size, (low, high) = self.bands.chunk_bytes, self.bands.chunk
-        chunks = len(text) // size
-        bad = sum(not low <= size / len(self.compress(text[k * size : (k + 1) * size])) <= high for k in range(chunks)) if chunks > 1 else 0
-        return len(text) / len(self.compress(text)), chunks if chunks > 1 else 0, bad
+            return None, 0, 0, 0
+        size, whole = self.bands.chunk_bytes, len(text) / len(self.compress(text))
+        bad = []
+        for at in range(0, len(text), size):
+            part = text[at : at + size]
+            low, high = self.bands.chunk if len(part) == size else band_of(self.bands, len(part))
+            if not low <= (whole if len(part) == len(text) else len(part) / len(self.compress(part))) <= high:
+                bad.append(len(part))
+        return whole, -(-len(text) // size), len(bad), sum(bad)
 
     def kept(self, text: bytes) -> tuple[bool, float | None, int, int]:
-        ratio, chunks, bad = self.ratios(text)
+        ratio, chunks, bad, bad_bytes = self.ratios(text)
         if ratio is None:
             return True, None, 0, 0
         low, high = band_of(self.bands, len(text))
-        return low <= ratio <= high and bad <= self.bands.bad_chunks * chunks, ratio, chunks, bad
+        return low <= ratio <= high and bad_bytes <= self.bands.bad_chunks * len(text), ratio, chunks, bad
 
 
 def repeated_words(words: list[bytes], window: int = 8) -> int:

@@ -39,6 +39,22 @@ def test_bands(spark):
     assert failed[4] and failed[5] and failed[6] and failed[8] and not failed[2] and not failed[3]
 
 
+def test_every_byte_is_in_a_judged_chunk():
+    rng = random.Random(5)
+    prose = lambda n: " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 7))) for _ in range(n)).encode()[: n * 4]
+    junk = b"spam " * 800
+    own = qb.Judge(qb.Bands())
+    short, tail = prose(1024) + junk[:2500], prose(2048) + junk[:3900]
+    for text in (short, tail):  # the whole ratio lets both through
+        low, high = qb.band_of(own.bands, len(text))
+        assert low <= own.ratios(text)[0] <= high
+    assert own.kept(short)[0] is False and own.kept(short)[2:] == (2, 1)
+    assert own.kept(tail)[0] is False and own.kept(tail)[2:] == (3, 1)
+    # a few odd bytes at the end weigh no more than they are
+    assert own.kept(prose(2048) + b"#!?")[0] is True
+    assert own.kept(b"")[1:] == (None, 0, 0) and own.kept(prose(200))[2:] == (1, 0)
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     want = {r["doc_id"]: brute(r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
