@@ -63,3 +63,51 @@ def test_recall(spark):
     assert got.keys() == want.keys() and all(len(got[i]) == len(want[i]) for i in want)
     assert np.mean([len({x[0] for x in got[i]} & {x[0] for x in want[i]}) / len(want[i]) for i in want]) > 0.9
     assert all(abs(s - dict(want[i])[j]) < 1e-12 for i in got for j, s in got[i] if j in dict(want[i]))
+
+
+def shares(x, how, per_query=300):
+    """(recall of the lists that queries visit, scanned share) by the index alone."""
+    rng = np.random.default_rng(7)
+    drawn = x[rng.permutation(len(x))[: how.sample]]
+    index = ann.build(drawn, len(x), float(np.linalg.norm(x, axis=1).max()), how)
+    asked = rng.permutation(len(x))[:per_query]
+    score = x[asked] @ x.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    near = np.argsort(-score, axis=1)[:, : how.k]
+    lists = [set() for _ in x]
+    for r, at in zip(*index.lists_of(x), strict=True):
+        lists[r].add(at)
+    assert all(lists)
+    visits = [set(index.probe(q)) for q in index.lifted(x[asked], query=True)]
+    return np.mean([bool(lists[j] & v) for v, row in zip(visits, near, strict=True) for j in row]), ann.scanned(index, x[asked], x)
+
+
+def test_pruning_selects_lists():
+    """50,000 vectors in groups: a query reads less than a fifth of them."""
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=(400, 32))
+    x = (centre[rng.integers(400, size=50_000)] + 0.5 * rng.normal(size=(50_000, 32))).astype(np.float32)
+    x *= rng.uniform(0.7, 1.0, size=(len(x), 1)).astype(np.float32)
+    recall, share = shares(x, ann.Settings())
+    assert recall >= 0.9 and share <= 0.2
+
+
+def test_pruning_without_any_groups():
+    """Directions at random are the worst case: recall holds, and a query still reads much less than all rows once."""
+    x = np.random.default_rng(5).normal(size=(30_000, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    recall, share = shares(x, ann.Settings())
+    assert recall >= 0.9 and share <= 0.8
+
+
+def test_ties_at_the_cut_go_to_smaller_ids(spark):
+    """Different vectors with one score: many more tie at the cut than are asked for."""
+    rows = [(i, [1.0, float((7 * i) % 400 + 1), 0.0]) for i in range(1, 401) if i != 20] + [(20, [1.0, 0.0, 0.0])]
+    got = results(ann.search(frame(spark, rows), lambda i: i == 20, ann.Settings(per_list=1_000)))
+    assert got == {20: [(i, 1.0) for i in [*range(1, 20), 21]]}
+
+
+def test_double_vectors_keep_their_precision(spark):
+    rows = [(0, [1.0, 0.0]), (20, [1.0, 1e-12]), (1, [1.0 + 1e-12, 0.0]), (2, [1.0 + 2e-12, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert results(ann.search(df, lambda i: i == 0)) == {0: [(2, 1.0 + 2e-12), (1, 1.0 + 1e-12), (20, 1.0)]}
