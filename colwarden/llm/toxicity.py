@@ -5,14 +5,16 @@ weight. For ordered grades 0..K, P(grade > k) = sigmoid(w x - theta_k) with one
 theta ascending. Weights get an L1 penalty, and only features significantly more frequent in higher grades are
 let in, so that a long clean text does not add up small noise. The result is the expected severity, the sum of P(grade > k) over k.
 
-Fit: a bounded sample of labelled rows (per_label rows of each label, drawn by a hash of the id), joined to the documents
-by a broadcast of just these ids. Their feature hashes go to the driver, where features are chosen and the convex problem
-is solved by accelerated proximal gradient steps. Labels of two values are made three grades: positive rows that hold more
-telling features than the median positive are grade 2. Labels with more values are used as they are.
+Fit: a bounded sample of labelled ids (about per_label of each label, drawn by a hash of the id), joined to the documents
+by a broadcast of just these ids, one row for each id: that with the smallest text. Feature hashes of these rows go to the
+driver, where features are chosen and the convex problem is solved by accelerated proximal gradient steps; the chosen
+features are then looked up as strings in the sample, and texts are scored by strings. Labels of two values are made three
+grades: positive rows that hold more telling features than the median positive are grade 2, which ranks them by the number
+of telling features and is no label of its own. Labels with more values are used as they are.
 
 Defined results: null and empty texts have no features, hence the severity of a text without any; rows without label, or
-with a null label or id, are not fitted; an id labelled twice counts with its highest label; if fewer than two labels are
-there, every severity is 0. Repeated rows each return; whole texts are read. Extra columns do not take part.
+with a null label or id, are not fitted; an id labelled twice counts with its highest label, before anything is drawn; if
+fewer than two labels are there, every severity is 0; more than Settings.most_labels different labels raise ValueError. Repeated rows each return; whole texts are read. Extra columns do not take part.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import small
+from .common import small, spill
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -33,6 +35,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 @dataclass(frozen=True)
 class Settings:
     per_label: int = 4_000
+    most_labels: int = 64  # bounds the sample, as per_label does; with more, an error tells so
     features: int = 1_000
     least_rows: int = 3
     least_share: float = 0.005
@@ -55,7 +58,7 @@ def features_of(token: str) -> set[str]:
 
 
 def hashed(feature: str) -> int:
-    """32 bits: enough to keep the few features that get a weight apart from others, at half the memory of 64."""
+    """32 bits, for the fit alone: half the memory of 64 on the driver."""
     import xxhash
 
     return xxhash.xxh32_intdigest(feature.encode())
@@ -65,7 +68,7 @@ def hashed(feature: str) -> int:
 class Model:
     """Weights by feature; empty if nothing could be fitted."""
 
-    weights: dict[str, float] | dict[int, float] = field(default_factory=dict)
+    weights: dict[str, float] = field(default_factory=dict)
     thetas: tuple[float, ...] = ()
 
     def scorer(self):
@@ -73,7 +76,7 @@ class Model:
 
         class Tokens(dict):
             def __missing__(own, token: str):  # noqa: N805
-                hits = tuple((h, self.weights[h]) for h in map(hashed, features_of(token)) if h in self.weights)
+                hits = tuple((h, self.weights[h]) for h in features_of(token) if h in self.weights)
                 if len(token) <= 64:
                     if len(own) >= 200_000:
                         own.clear()
@@ -84,7 +87,7 @@ class Model:
 
         def score(text: str | None) -> list[float]:
             """P(grade > k) for each k."""
-            hits: dict[int, float] = {}
+            hits: dict[str, float] = {}
             for found in filter(None, map(tokens.__getitem__, set((text or "").split()))):
                 hits.update(found)
             at = math.fsum(hits.values())
@@ -122,8 +125,8 @@ def solve(x, grades, how: Settings):
     return w * scale, theta
 
 
-def train(rows: list[tuple[object, int]], how: Settings = Settings()) -> Model:
-    """rows: (distinct feature hashes as uint32 array, label)."""
+def train(rows: list[tuple[object, int]], how: Settings = Settings(), spell=dict) -> Model:
+    """rows: (distinct feature hashes as uint32 array, label). spell gives the feature of each hash of a list, as a dict."""
     import numpy as np
 
     labels = np.array([y for _, y in rows], np.int64)
@@ -151,21 +154,26 @@ def train(rows: list[tuple[object, int]], how: Settings = Settings()) -> Model:
         telling = np.bincount(of, (z > how.least_z)[at], len(rows))
         grades = grades + (bad & (telling > np.median(telling[bad])))
     w, theta = solve(x, grades, how)
-    return Model({int(names[c]): float(v) for c, v in zip(chosen, w, strict=True) if v}, tuple(map(float, theta)))
+    weights = {int(names[c]): float(v) for c, v in zip(chosen, w, strict=True) if v}
+    spelt = spell(sorted(weights))
+    return Model({spelt[h]: v for h, v in weights.items()}, tuple(map(float, theta)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, how: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on at most about per_label labelled documents of each label."""
     ship(docs.sparkSession)
-    marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).na.drop()
-    per = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy("label").limit(64).collect()}
+    marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).na.drop().groupBy("id").agg(F.max("label").alias("label"))
+    per = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy("label").limit(how.most_labels + 1).collect()}
+    if len(per) > how.most_labels:
+        raise ValueError(f"more than {how.most_labels} different labels: bin them, or raise most_labels")
     spread = F.pmod(F.xxhash64("id", F.lit(how.seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     rate = F.lit(0.0)
     for label, n in per.items():
         rate = F.when(F.col("label") == label, F.lit(how.per_label / n)).otherwise(rate)
-    drawn = marked.where(spread < rate).groupBy("id").agg(F.max("label").alias("label"))
-    # about per_label rows of each of at most 64 labels: a proven bound
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(drawn), "id").select("id", "label", "text")
+    # about per_label ids of each of at most most_labels labels, and a row for each: a proven bound
+    drawn = marked.where(spread < rate)
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(drawn), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    own = spill(own, "labelled")
 
     def work(batches: Iterator) -> Iterator:
         import numpy as np
@@ -178,10 +186,27 @@ def fit(docs: DataFrame, labels: DataFrame, how: Settings = Settings(), id_col:
                 found.append(np.sort(np.fromiter(map(hashed, distinct), np.uint32, len(distinct))).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["id", "label", "features"])
 
+    def spell(hashes: list[int]) -> dict[int, str]:
+        """The feature of each hash; of several with one hash, that of the most rows of the sample."""
+        wanted = frozenset(hashes)  # at most Settings.features
+
+        def names(batches: Iterator) -> Iterator:
+            import pyarrow as pa
+
+            for batch in small(batches):
+                found = [f for text in batch.column(0).to_pylist() for f in {f for token in set((text or "").split()) for f in features_of(token)} if hashed(f) in wanted]
+                yield pa.RecordBatch.from_arrays([pa.array(map(hashed, found), pa.int64()), pa.array(found, pa.string())], names=["hash", "feature"])
+
+        if not wanted:
+            return {}
+        number = own.select("text").mapInArrow(names, "hash long, feature string").groupBy("hash", "feature").agg(F.count(F.lit(1)).alias("n"))
+        best = number.groupBy("hash").agg(F.min(F.struct((-F.col("n")).alias("n"), "feature")).alias("best"))
+        return {r["hash"]: r["feature"] for r in best.select("hash", "best.feature").collect()}
+
     import numpy as np
 
     got = sorted(tuple(r) for r in own.mapInArrow(work, "id long, label int, features binary").collect())
-    return train([(np.frombuffer(f, np.uint32), y) for _, y, f in got], how)
+    return train([(np.frombuffer(f, np.uint32), y) for _, y, f in got], how, spell)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,6 +1,9 @@
+import math
 import random
+import re
 
 import numpy as np
+import pytest
 
 from colwarden.llm import toxicity as tx
 from colwarden.llm.queries import op1_toxicity
@@ -65,7 +68,8 @@ def test_ordered_labels_are_used_as_grades():
         y = rng.choice([0, 1, 2])
         words = {"calm", rng.choice(["a", "b", "c"])} | ({"rude"} if y else set()) | ({"vile"} if y == 2 else set())
         data.append((np.array([tx.hashed(w) for w in words], np.uint32), y))
-    score = tx.train(data).scorer()
+    names = {tx.hashed(w): w for w in ("calm", "a", "b", "c", "rude", "vile")}
+    score = tx.train(data, spell=lambda hashes: names).scorer()
     low, mid, high = (sum(score(t)) for t in ("calm a", "calm a rude", "calm a rude vile"))
     assert low < 0.3 < 0.7 < mid < 1.3 < 1.7 < high
 
@@ -76,3 +80,47 @@ def test_query_on_labelled_rows(spark):
     out = {r["doc_id"]: r["toxic"] for r in op1_toxicity(spark, sf).collect()}
     assert len(out) == 1000
     assert np.mean([out[i] for i, y in toxic.items() if y]) > 0.9 and np.mean([out[i] for i, y in toxic.items() if not y]) < 0.02
+
+
+def test_severity_is_the_sum_over_thresholds(spark):
+    """Against the formula, from whole lists of features."""
+    model = tx.Model({"rude": 2.0, "vile": 1.5, "vile*": 9.0, "stin*": 0.5, "stinki*": 0.25}, (1.0, 3.0))
+    texts = ["", None, "calm words", "RUDE", "rude, rude rude!", "vile and rude", "stinking rude", "stink", "vilest"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in tx.score(df, model).collect():
+        words = set(re.findall(r"[a-z]+", (texts[r["doc_id"]] or "").lower()))
+        features = words | {w[:4] + "*" for w in words if len(w) > 4} | {w[:6] + "*" for w in words if len(w) > 6}
+        at = sum(model.weights.get(f, 0.0) for f in features)
+        p = [1 / (1 + math.exp(t - at)) for t in model.thetas]
+        assert abs(r["severity"] - sum(p)) < 1e-12 and r["grade"] == sum(x > 0.5 for x in p) and r["toxic"] == (p[0] > 0.5)
+
+
+def test_ids_on_many_rows_and_labelled_twice(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(tx, "train", lambda rows, how, spell: seen.append(rows) or tx.Model())
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(i, "text") for i in range(2, 12)], "doc_id long, text string")
+    labels = [(i, 0) for i in range(1, 12)] + [(i, 0) for i in range(1, 12)] + [(i, 1) for i in range(1, 8)]
+    tx.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), tx.Settings(per_label=1_000))
+    assert sorted(y for _, y in seen[0]) == [0] * 4 + [1] * 7  # an id once, with its highest label
+
+
+def test_all_labels_or_an_error(spark):
+    docs = spark.createDataFrame([(i, f"word{i}") for i in range(70)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i) for i in range(70)], "doc_id long, toxic int")
+    with pytest.raises(ValueError, match="different labels"):
+        tx.fit(docs, labels)
+    assert len(tx.fit(docs, labels, tx.Settings(most_labels=70)).thetas) == 69
+
+
+def test_more_telling_words_mean_more_severity(spark):
+    rng = random.Random(9)
+    bad, calm = "grobian schuft lump halunke".split(), "lorem ipsum dolor sit amet magna aliqua tempor".split()
+    data = []
+    for i in range(900):
+        n = rng.choice([0, 0, 0, 1, 2, 3])
+        data.append((i, " ".join(rng.sample(bad, n) + [rng.choice(calm) for _ in range(30)]), n))
+    df = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string")
+    model = tx.fit(df, spark.createDataFrame([(i, int(n > 0)) for i, _, n in data[:600]], "doc_id long, toxic int"))
+    out = {r["doc_id"]: r["severity"] for r in tx.score(df, model).collect()}
+    mean = [np.mean([out[i] for i, _, n in data[600:] if n == k]) for k in range(4)]  # rows left out of the fit
+    assert mean[0] < 0.2 and mean[0] < mean[1] < mean[2] < mean[3]
