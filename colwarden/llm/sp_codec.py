@@ -62,20 +62,34 @@ class Codec:
         codec = self
 
         class Known(dict):
-            def __missing__(self, part: str) -> bytes:
+            def __missing__(self, part: str) -> tuple[bytes, bytes]:
                 ids = codec.encode_part(part)
-                value = array("i", ids).tobytes()
-                if (decoded := codec.decode_part(ids)) != part.replace(SPACE, " ").encode():
-                    codec.odd[part] = decoded
-                elif len(part) <= 64:
+                value = array("i", ids).tobytes(), codec.decode_part(ids)
+                if len(part) <= 64:
                     if len(self) >= codec.remembered:
                         self.clear()
                     self[part] = value
                 return value
 
-        self.known = Known({"": b""})
-        #: What parts decode to that do not decode to themselves: characters without a piece, in models without byte pieces.
-        self.odd: dict[str, bytes] = {}
+        #: Ids of parts, and what these ids decode to.
+        self.known = Known({"": (b"", b"")})
+        self.check(sp, pieces)
+
+    def check(self, sp, pieces: list[str]) -> None:
+        """Raise ValueError unless this codec agrees with the library on every piece and on what normalisers change.
+
+        Models of another type, with another normaliser, without the dummy prefix or with symbols of their own differ here.
+        """
+        usable = [p.replace(SPACE, " ") for i, p in enumerate(pieces) if i in self.text]
+        probes = ["".join(usable[k : k + 50]) for k in range(0, len(usable), 50)]
+        probes += ["a  b ", " a", "\t a\n\nb", "ﬁ Ａ ｱ ² Å é", "The cat sat, and THE dog.", "日本語 😀"]
+        for text in probes:
+            ids, decoded = self.convert(text)
+            want = sp.encode(text)
+            if memoryview(ids).cast("i").tolist() != want or decoded.decode() != sp.decode(want):
+                raise ValueError("not a merge-type model with identity normalisation and a dummy prefix")
+        self.known.clear()
+        self.known[""] = b"", b""
 
     def merged(self, text: str) -> list[str]:
         """Plain BPE, for the short texts of pair tests: the best-ranked neighbours merge, the leftmost of equals first."""
@@ -170,12 +184,8 @@ class Codec:
         """(ids as int32, decoded text in UTF-8)."""
         if not text:
             return b"", b""
-        parts = self.parts(text)
-        ids = b"".join(map(self.known.__getitem__, parts))
-        if not self.odd:  # each part was decoded when it was met first, and came back as it was
-            return ids, text.replace(SPACE, " ").encode()
-        decoded = b"".join([self.odd.get(p) or p.replace(SPACE, " ").encode() for p in parts])
-        self.odd.clear()
+        parts = [self.known[p] for p in self.parts(text)]
+        ids, decoded = b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
         return ids, decoded[1:] if decoded[:1] == b" " else decoded
 
     def decode(self, ids: list[int]) -> str:
