@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, langid, mixing, neardup, quality_bands, secret_ledger, sp_codec, toxicity, url_rules, warc
-from .common import read
+from .common import read, workspace
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,8 +78,11 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM n
 """
 
 
-def op9_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys, entries = secret_ledger.scan(read(spark, sf_dir, "documents"))
+def op9_secret_ledger(spark: SparkSession, sf_dir: str, ledger_path: str | None = None) -> DataFrame:
+    """A base scan into a stored ledger, then an incremental one, which finds every blob there; rows are of the second."""
+    docs, ledger = read(spark, sf_dir, "documents"), secret_ledger.Ledger(ledger_path or workspace(spark, "ledger"))
+    secret_ledger.scan_into(docs, ledger)
+    keys, entries = secret_ledger.scan_into(docs, ledger)
     found = secret_ledger.findings(keys, entries)
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     spans = secret_ledger.digest(F.col("spans"))

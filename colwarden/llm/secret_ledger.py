@@ -2,7 +2,8 @@
 
 Every text is a blob named by its SHA-256. A ledger holds one row for each (blob, rule, rule version) ever scanned, with
 or without findings. A scan hashes all texts, keeps one row per blob, drops those pairs that the ledger has, runs the rules
-on what is left, and joins findings back to every row that holds the blob. Text is moved once, keyed by blob and row id,
+on what is left, and joins findings back to every row that holds the blob. Ledger keeps the entries as a table that scans
+append to. Text is moved once, keyed by blob and row id,
 so a blob with a third of all rows does not meet in one task. The join
 back carries ids and findings only and may be split by adaptive execution where a blob is hot.
 
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fresh, spill
@@ -41,6 +42,36 @@ RULES = (
 
 LEDGER = "blob string, rule string, version int, spans array<struct<start: int, end: int>>"
 
+#: Up to so many blobs to scan, their texts are found by a broadcast of ids and digests (some 100 bytes each), without
+#: moving the others; beyond, by a shuffle.
+BROADCAST_BLOBS = 10_000
+
+
+@dataclass(frozen=True)
+class Ledger:
+    """A stored ledger: Parquet files in a folder that driver and executors share. Entries that are there twice count once."""
+
+    path: str
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+            return spark.createDataFrame([], LEDGER)
+        return spark.read.schema(LEDGER).parquet(self.path)
+
+    def append(self, entries: DataFrame) -> None:
+        """Add entries, as scan() gives them. Nothing that is there is written again; a failed append leaves no entry."""
+        entries.select("blob", "rule", "version", "spans").write.mode("append").parquet(self.path)
+
+
+def scan_into(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """scan() against a stored ledger, to which what was scanned now is added. (keys, entries)"""
+    known = ledger.read(docs.sparkSession)
+    keys, new, old = _scan(docs, known, rules, id_col, text_col)
+    if not new.isEmpty():
+        ledger.append(new)
+    return keys, new.unionByName(old)
+
 
 def find(text: Column, rule: Rule) -> Column:
     """array<struct<start, end>> of the rule's spans in text.
@@ -75,6 +106,12 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
     Keep entries, with keys if paths matter, and give them as ledger next time: only blobs or rule versions that it lacks
     are scanned then.
     """
+    keys, new, old = _scan(docs, ledger, rules, id_col, text_col)
+    return keys, new if old is None else new.unionByName(old)
+
+
+def _scan(docs: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...], id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(keys, new entries, the ledger's entries for these blobs)."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
     keys = spill(rows.select("id", blob_of(F.col("body")).alias("blob")), "blobs")
     firsts = keys.groupBy("blob").agg(F.min("id").alias("id"))
@@ -90,7 +127,9 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
         done = known.groupBy("blob").agg(F.array_sort(F.collect_set("rule")).alias("done"))
         wanted = firsts.join(done, "blob", "left").where(F.coalesce(F.size("done"), F.lit(0)) < len(rules))
     seen = F.col("done") if ledger is not None else F.lit(None).cast("array<string>")
-    wanted = wanted.select(F.col("id").alias("first"), F.col("blob").alias("wanted"), seen.alias("done"))
+    wanted = spill(wanted.select(F.col("id").alias("first"), F.col("blob").alias("wanted"), seen.alias("done")), "unseen")
+    if wanted.count() <= BROADCAST_BLOBS:
+        wanted = F.broadcast(wanted)
     bodies = rows.withColumn("blob", blob_of(F.col("body"))).join(wanted, F.col("id").eqNullSafe(F.col("first")) & (F.col("blob") == F.col("wanted")))
     found = [F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version"), find(F.col("body"), r).alias("spans")) for r in rules]
     if ledger is not None:
@@ -98,7 +137,7 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
     fresh_rows = bodies.select("blob", F.array_compact(F.array(*found)).alias("found"))
     # repeated rows of one id and text scan alike: one entry is kept
     new = spill(fresh_rows.dropDuplicates(["blob"]).select("blob", F.inline("found")), "ledger")
-    return keys, new if known is None else new.unionByName(known.join(firsts.select("blob"), "blob", "left_semi"))
+    return keys, new, None if known is None else known.join(firsts.select("blob"), "blob", "left_semi")
 
 
 def findings(keys: DataFrame, entries: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -86,3 +86,31 @@ def test_redact(spark):
 def test_empty(spark, schema):
     keys, entries = sl.scan(spark.createDataFrame([], schema))
     assert sl.findings(keys, entries).count() == entries.count() == 0
+
+
+def test_stored_ledger_scans_unseen_blobs_only(spark, tmp_path, monkeypatch):
+    scanned, spill = [], sl.spill
+
+    def counting(df, name):
+        out = spill(df, name)
+        if name == "unseen":
+            scanned.append(out.count())
+        return out
+
+    monkeypatch.setattr(sl, "spill", counting)
+    for most in (sl.BROADCAST_BLOBS, 0):  # both ways of finding the texts
+        monkeypatch.setattr(sl, "BROADCAST_BLOBS", most)
+        scanned.clear()
+        ledger = sl.Ledger(str(tmp_path / f"ledger{most}"))
+        rows = [(i, f"token = abcdef{i % 7}") for i in range(20)] + [(None, None), (50, "")]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = [sorted(sl.findings(*sl.scan_into(docs, ledger)).collect(), key=str) for _ in range(2)]
+        assert got[0] == got[1] and len(got[0]) == 22
+        more = docs.unionByName(spark.createDataFrame([(60, "secret: zzzzzz9"), (61, "token = abcdef1")], docs.schema))
+        keys, entries = sl.scan_into(more, ledger)
+        assert sl.findings(keys, entries).where("size(spans) = 1").count() == 22
+        newer = (sl.Rule("hex", "[0-9a-f]{6,}", version=2), *sl.RULES[:2])
+        sl.scan_into(more, ledger, newer)
+        sl.scan_into(more, ledger, newer)
+        assert scanned == [8, 0, 1, 9, 0]
+        assert ledger.read(spark).count() == 9 * 3 + 9
