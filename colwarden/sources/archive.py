@@ -10,6 +10,7 @@ import csv
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
+from typing import BinaryIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,18 +27,36 @@ class BadArchive(ValueError):
     """No header can be read; the text says why."""
 
 
-def open_csv(content: bytes, strip_bom: bool = False) -> tuple[str, io.TextIOBase]:
-    """The first CSV entry of an archive, by archive order. Bytes that aren't UTF-8 are dropped; lines end at line feeds only."""
-    if not content.startswith(b"PK"):
+def csv_entries(file: BinaryIO) -> list[zipfile.ZipInfo]:
+    """The CSV entries of an archive, in archive order; entries of one name are several."""
+    if file.read(2) != b"PK":
         raise BadArchive("not a ZIP archive")
+    file.seek(0)
     try:
-        archive = zipfile.ZipFile(io.BytesIO(content))
-        entry = next((n for n in archive.namelist() if n.lower().endswith(".csv")), None)
-        if entry is None:
-            raise BadArchive("no CSV entry")
-        return entry, io.TextIOWrapper(archive.open(entry), encoding="utf-8-sig" if strip_bom else "utf-8", errors="ignore", newline="\n")
+        found = [i for i in zipfile.ZipFile(file).infolist() if i.filename.lower().endswith(".csv")]
     except (zipfile.BadZipFile, NotImplementedError, RuntimeError, OSError) as e:
         raise BadArchive(f"unreadable archive: {e}") from e
+    if not found:
+        raise BadArchive("no CSV entry")
+    return found
+
+
+def open_entry(file: BinaryIO, entry: zipfile.ZipInfo, strip_bom: bool = False) -> io.TextIOBase:
+    """An entry as text, inflated as it is read. Bytes that aren't UTF-8 are dropped; lines end at line feeds only."""
+    try:
+        return io.TextIOWrapper(zipfile.ZipFile(file).open(entry), encoding="utf-8-sig" if strip_bom else "utf-8", errors="ignore", newline="\n")
+    except (zipfile.BadZipFile, NotImplementedError, RuntimeError, OSError) as e:
+        raise BadArchive(f"unreadable archive: {e}") from e
+
+
+def rows_of(text: io.TextIOBase, fields: Sequence[str]) -> Iterator[list[str | None]]:
+    """The records after the header, cut down to fields by the header of this entry; what it lacks is null."""
+    reader = csv.reader(text)
+    header = [clean(c) for c in next(reader, [])]
+    at = [header.index(f) if f in header else -1 for f in fields]
+    for r in reader:
+        if r:
+            yield [r[k] if 0 <= k < len(r) else None for k in at]
 
 
 def capped(text: io.TextIOBase, most: int) -> Iterator[str]:
@@ -56,14 +75,16 @@ def clean(cell: str) -> str:
 
 def header_of(content: bytes, strip_bom: bool = False) -> tuple[str, list[str]]:
     """(entry, names in order, repeats kept)."""
-    entry, text = open_csv(content, strip_bom)
+    file = io.BytesIO(content)
+    entry = csv_entries(file)[0]
+    text = open_entry(file, entry, strip_bom)
     try:
         first = next(csv.reader(capped(text, MOST_HEADER_CHARS)), None)
     except (csv.Error, OSError, EOFError, zipfile.BadZipFile) as e:
         raise BadArchive(f"unreadable CSV: {e}") from e
     if first is None:
         raise BadArchive("empty CSV")
-    return entry, [clean(c) for c in first]
+    return entry.filename, [clean(c) for c in first]
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -106,9 +127,9 @@ def check_headers(headers: DataFrame, required: Sequence[str] = CONTRACT_FIELDS)
 
 
 def archive_rows(archives: DataFrame, fields: Sequence[str] = CONTRACT_FIELDS, batch: int = 5_000, strip_bom: bool = False) -> DataFrame:
-    """The rows of every archive's first CSV entry, cut down to fields, all strings; what an archive lacks is null.
+    """The rows of every CSV entry of every archive, cut down to fields, all strings; what an entry lacks is null.
 
-    Of columns with one name the first counts. Rows shorter than the header end in nulls; an unreadable archive raises.
+    Each entry is read by its own header. Of columns with one name the first counts. Rows shorter than the header end in nulls; an unreadable archive raises.
     """
     ship(archives.sparkSession)
     fields = list(fields)
@@ -118,14 +139,10 @@ def archive_rows(archives: DataFrame, fields: Sequence[str] = CONTRACT_FIELDS, b
 
         for pdf in batches:
             for content in pdf["content"]:
-                _, text = open_csv(bytes(content or b""), strip_bom)
-                reader = csv.reader(text)
-                header = [clean(c) for c in next(reader, [])]
-                at = [header.index(f) if f in header else -1 for f in fields]
+                file = io.BytesIO(bytes(content or b""))
                 rows: list[list[str | None]] = []
-                for r in reader:
-                    if r:
-                        rows.append([r[k] if 0 <= k < len(r) else None for k in at])
+                for r in (r for entry in csv_entries(file) for r in rows_of(open_entry(file, entry, strip_bom), fields)):
+                    rows.append(r)
                     if len(rows) == batch:
                         yield pd.DataFrame(rows, columns=fields, dtype=object)
                         rows = []

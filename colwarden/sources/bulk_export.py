@@ -6,12 +6,12 @@ ISO dates; award_types, comma-separated.
 
 Bounds of action_date are pushed into the request, and Spark checks them again after the scan, as whether the service
 counts the ends isn't known. Set spark.sql.python.filterPushdown.enabled. A source has no hook for column pruning, so name
-the columns. The job runs once, when partitions are planned; tasks read the landed file only.
+the columns. The job runs once, when partitions are planned; tasks read the landed file only, one for each CSV entry, and
+inflate it as they go.
 """
 
 from __future__ import annotations
 
-import csv
 import importlib
 import json
 import uuid
@@ -22,7 +22,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, GreaterThanOrEq
 from pyspark.sql.types import StructType
 
 from ..plans.contract import CONTRACT_FIELDS, raw_schema
-from .archive import clean, open_csv
+from .archive import csv_entries, open_entry, rows_of
 from .jobs import AWARD_TYPES, ExportJob, ExportRequest, HttpTransport
 
 
@@ -44,8 +44,10 @@ class BulkExport(DataSource):
 
 
 class Landed(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+    """The nth CSV entry of a landed archive."""
+
+    def __init__(self, path: str, nth: int):
+        self.path, self.nth = path, nth
 
 
 class BulkExportReader(DataSourceReader):
@@ -88,20 +90,15 @@ class BulkExportReader(DataSourceReader):
         path = f"{folder}/export-{uuid.uuid4().hex}.zip"
         with store.open_output_stream(path) as out:
             out.write(content)
-        return [Landed(path)]
+        with store.open_input_file(path) as file:
+            return [Landed(path, nth) for nth in range(len(csv_entries(file)))]
 
     def read(self, partition: Landed) -> Iterator[tuple]:
         if not isinstance(partition, Landed):
             return
         store, _ = _open(self.options["landing"])
-        with store.open_input_stream(partition.path) as f:
-            _, text = open_csv(f.read())
-        reader = csv.reader(text)
-        header = [clean(c) for c in next(reader, [])]
-        at = [header.index(f) if f in header else -1 for f in self.fields]
-        for r in reader:
-            if r:
-                yield tuple(r[k] if 0 <= k < len(r) else None for k in at)
+        with store.open_input_file(partition.path) as file:
+            yield from map(tuple, rows_of(open_entry(file, csv_entries(file)[partition.nth]), self.fields))
 
 
 def _open(uri: str):

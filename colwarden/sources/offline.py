@@ -24,26 +24,28 @@ def landing_folder(spark: SparkSession) -> str:
 
 
 class OfflineTransport:
-    """Keeps to the request: award types and both ends of the date range. The first status check is pending."""
+    """Keeps to the request: award types and both ends of the date range. Rows are dealt to `entries` CSV entries."""
 
-    def __init__(self, pending: int = 0, broken: bool = False):
-        self.pending, self.broken, self.requests, self.file = pending, broken, [], b""
+    def __init__(self, pending: int = 0, broken: bool = False, entries: int = 1):
+        self.pending, self.broken, self.entries, self.requests, self.file = pending, broken, entries, [], b""
 
     def post(self, url: str, document: Mapping, timeout: float) -> bytes:
         self.requests.append(document)
         if self.broken:
             raise ConnectionError("the service is down")
         span, types = document["filters"]["date_range"], document["filters"]["prime_award_types"]
-        out = io.StringIO()
-        out.write(",".join(f'"{f}"' for f in (*CONTRACT_FIELDS, "solicitation_procedures_code")) + "\n")
+        parts = [io.StringIO() for _ in range(self.entries)]
+        for out in parts:
+            out.write(",".join(f'"{f}"' for f in (*CONTRACT_FIELDS, "solicitation_procedures_code")) + "\n")
         for i in range(ROWS):
             day, kind = f"{FIRST_DAY + timedelta(days=i % 7):%Y-%m-%d}", "ABCD"[i % 4]
             if span["start_date"] <= day <= span["end_date"] and kind in types:
                 row = {"award_id_piid": f"AW{i:04}", "action_date": day, "award_type": kind, "federal_action_obligation": f"{i * 10.25:.2f}", "transaction_description": '"line one\nline ""two"""'}
-                out.write(",".join(row.get(f, "") for f in CONTRACT_FIELDS) + ",\n")
+                parts[i % self.entries].write(",".join(row.get(f, "") for f in CONTRACT_FIELDS) + ",\n")
         packed = io.BytesIO()
         with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr("awards_1.csv", out.getvalue())
+            for nth, out in enumerate(parts, 1):
+                z.writestr(f"awards_{nth}.csv", out.getvalue())
         self.file = packed.getvalue()
         return json.dumps({"status_url": f"{url}/status", "file_url": f"{url}/file"}).encode()
 

@@ -99,3 +99,10 @@ def test_stream(spark, tmp_path):
         assert {k: r["all_available"] for k, r in got.items()} == {"1": True, "2": False, "3": False} and got["3"]["reason"]
     finally:
         query.stop()
+
+
+def test_rows_of_every_csv_entry(spark, tmp_path):
+    land(tmp_path, "two.zip", packed([("t.txt", b"q"), ("b.csv", b"a,b\n1,2\n3,4\n"), ("empty.csv", b""), ("a.CSV", b"c,b,a\n9,6,5\n")]))
+    land(tmp_path, "same.zip", packed([("x.csv", b"a\n7\n")]))
+    got = archive.archive_rows(archive.read_archives(spark, str(tmp_path)), ["a", "b", "absent"], batch=2)
+    assert sorted(map(tuple, got.collect())) == [("1", "2", None), ("3", "4", None), ("5", "6", None), ("7", None, None)]

@@ -104,6 +104,8 @@ def test_source(spark, tmp_path):
     reader = lambda **o: spark.read.format("bulk_export").options(endpoint="x://y", transport="colwarden.sources.offline:OfflineTransport", landing=tmp_path.as_uri(), as_of="2025-09-24", **o).load()
     df = reader()
     assert len(df.columns) == 54 and df.count() == 300  # three days of seven
+    several = reader(transport_options='{"entries": 3}')
+    assert several.rdd.getNumPartitions() == 3 and sorted(several.collect(), key=str) == sorted(df.collect(), key=str)
     one = df.where("action_date >= '2025-09-23' AND action_date <= '2025-09-23'")
     assert one.count() == 100 and one.select("transaction_description").distinct().first()[0] == 'line one\nline "two"'
     assert reader(columns="award_type,absent", award_types="A").distinct().collect() == [("A", None)]
