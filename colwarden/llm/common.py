@@ -62,15 +62,15 @@ def _sweep() -> None:
                 return
 
 
-#: Tasks that write a spilled table, for each core of the cluster: enough to balance, few enough to keep files large.
-WRITERS_PER_CORE = 2
-
-
 def spill(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write df as Parquet to shared storage and read it back. Lost executors lose nothing of it."""
+    """Cut lineage: write df as Parquet to shared storage and read it back. Lost executors lose nothing of it.
+
+    The tasks that compute df write it: as many as its scan has splits, or as adaptive execution makes of its shuffle by
+    size. So tasks stay of one size when the data grow.
+    """
     spark = df.sparkSession
     path = workspace(spark, name)
-    df.coalesce(WRITERS_PER_CORE * spark.sparkContext.defaultParallelism).write.parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
