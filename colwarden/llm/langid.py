@@ -8,11 +8,14 @@ regression per language against the rest is solved in closed form. As the kernel
 landmarks, the inverse root and the weights fold into one matrix of slots by languages, so that scoring is one product of
 a batch of presence vectors with that matrix, and costs the same for any number of landmarks.
 
-Sampling: rows are counted per language (partial sums), and a row is drawn if a hash of its id falls under quota / count;
-at most 1.5 times per_language rows of each of the 512 most frequent languages are used, whatever the size of the corpus. Everything else covers all rows.
+Sampling: rows are counted per language (partial sums), and a row is drawn if a hash of its id falls under quota / count.
+The quota is per_language, or most_rows over the number of languages where that is less; at most 1.5 times the quota is used of
+each language, so the fit holds 1.5 times most_rows rows at most, whatever the size of the corpus. No language is left out;
+more than most_languages distinct ones raise an error. Everything else covers all rows.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0; without any training row all are ``und``;
-a null id is never a training row and not held out; ties go to the language first in code point order; the score is the
+a null id is never a training row and not held out; very long texts are read
+whole, in memory of one text and its slots; ties go to the language first in code point order; the score is the
 softmax share of the winning language. Repeated rows each return. Extra columns do not take part.
 """
 
@@ -36,12 +39,16 @@ class Settings:
     high: int = 4
     slots: int = 1 << 15
     per_language: int = 600
+    most_rows: int = 20_000
+    most_languages: int = 512
     landmarks: int = 512
     ridge: float = 1e-2
     sharpness: float = 8.0
     seed: int = 7
 
 
+#: Rows of the weights that one product gathers, times languages: 16 MB of float32, or one text's where that is more.
+GATHERED = 1 << 22
 _LETTER = re.compile(r"[A-Za-z]")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -73,25 +80,38 @@ class Model:
     bias: object
     how: Settings
 
-    def scores(self, texts: list[str]):
-        """Texts by languages. One sparse presence matrix times the weights: rows of the weights, summed within each text."""
+    def scores(self, found: list):
+        """Texts, given as their slots, by languages: a sparse presence matrix times the weights, row sums within each text."""
         import numpy as np
 
-        found = [slots_of(t, self.how) for t in texts]
         size = np.array([len(x) for x in found])
         rows = self.weights[np.concatenate(found)]
         return np.add.reduceat(rows, np.concatenate([[0], np.cumsum(size)[:-1]]), axis=0) / np.sqrt(size)[:, None] + self.bias
 
-    def predict(self, texts: list[str | None], chunk: int = 64) -> tuple[list[str], list[float]]:
+    def batches(self, texts: list[str], most: int = GATHERED) -> Iterator[list]:
+        """The texts' slots in order, in batches of no more than most weights to gather, or of one text."""
+        part, held = [], 0
+        for text in texts:
+            slots = slots_of(text, self.how)
+            if part and (held + len(slots)) * len(self.languages) > most:
+                yield part
+                part, held = [], 0
+            part.append(slots)
+            held += len(slots)
+        if part:
+            yield part
+
+    def predict(self, texts: list[str | None], most: int = GATHERED) -> tuple[list[str], list[float]]:
         import numpy as np
 
         names, shares = ["und"] * len(texts), [0.0] * len(texts)
-        at = [i for i, t in enumerate(texts) if t and has_letter(t)] if self.languages else []
-        for k in range(0, len(at), chunk):
-            part = at[k : k + chunk]
-            s = self.scores([texts[i] for i in part])
+        known = [i for i, t in enumerate(texts) if t and has_letter(t)] if self.languages else []
+        at = iter(known)
+        for part in self.batches([texts[i] for i in known], most):
+            s = self.scores(part)
             e = np.exp(self.how.sharpness * (s - s.max(axis=1, keepdims=True)))
-            for i, best, share in zip(part, s.argmax(axis=1), e.max(axis=1) / e.sum(axis=1), strict=True):
+            for best, share in zip(s.argmax(axis=1), e.max(axis=1) / e.sum(axis=1), strict=True):
+                i = next(at)
                 names[i], shares[i] = self.languages[best], float(share)
         return names, shares
 
@@ -134,11 +154,14 @@ def fit(docs: DataFrame, how: Settings = Settings(), id_col: str = "doc_id", tex
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where((fold_of("id") != 1) & F.col("lang").isNotNull())  # counted without reading a text
-    per = {r["lang"]: r["n"] for r in rows.groupBy("lang").count().withColumnRenamed("count", "n").orderBy(F.desc("n"), "lang").limit(512).collect()}
+    counted = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(how.most_languages + 1).collect()
+    if len(counted) > how.most_languages:
+        raise ValueError(f"more than {how.most_languages} languages; raise most_languages")
+    quota = min(how.per_language, max(1, how.most_rows // max(1, len(counted))))
     spread = F.pmod(F.xxhash64("id", F.lit(how.seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     rate = F.lit(0.0)
-    for lang, n in sorted(per.items()):
-        rate = F.when(F.col("lang") == lang, F.lit(how.per_language * 1.2 / n)).otherwise(rate)
+    for lang, n in sorted(map(tuple, counted)):
+        rate = F.when(F.col("lang") == lang, F.lit(quota * 1.2 / n)).otherwise(rate)
 
     def work(batches: Iterator) -> Iterator:
         import numpy as np
@@ -156,7 +179,7 @@ def fit(docs: DataFrame, how: Settings = Settings(), id_col: str = "doc_id", tex
     kept, seen = [], {}
     for lang, _, slots in got:
         seen[lang] = seen.get(lang, 0) + 1
-        if seen[lang] <= 1.5 * how.per_language:
+        if seen[lang] <= 1.5 * quota:
             kept.append((np.frombuffer(slots, np.uint32), lang))
     return train([x for x, _ in kept], [y for _, y in kept], how)
 

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 
 from colwarden.llm import langid
 from colwarden.llm.queries import op10_language_id
@@ -13,16 +14,64 @@ def text(lang, k):
 
 
 def test_folded_weights_equal_the_kernel_computation():
+    """Kernels by counting common slots, ridge regression as weighted least squares, text by text."""
     how = langid.Settings(slots=1 << 10, landmarks=20)
-    rows = [(text(y, k), y) for y in WORDS for k in range(15)]
-    found = [langid.slots_of(t, how) for t, _ in rows]
-    model = langid.train(found, [y for _, y in rows], how)
-    assert np.allclose(model.scores([rows[3][0]])[0], model.scores([rows[3][0], "zz"])[0])
+    rows = [(text(y, k), y) for y, n in zip(WORDS, (15, 9, 4), strict=True) for k in range(n)]
+    sets = [set(langid.slots_of(t, how).tolist()) for t, _ in rows]
+    model = langid.train([langid.slots_of(t, how) for t, _ in rows], [y for _, y in rows], how)
+
+    kernel = lambda a, b: len(a & b) / (len(a) * len(b)) ** 0.5
+    marks = [sets[i] for i in np.sort(np.random.default_rng(how.seed).permutation(len(sets))[: how.landmarks])]
+    values, vectors = np.linalg.eigh(np.array([[kernel(a, b) for b in marks] for a in marks]))
+    good = values > values.max() * 1e-8
+    features = lambda group: np.array([[kernel(a, b) for b in marks] for a in group]) @ (vectors[:, good] / np.sqrt(values[good]))
+    x = features(sets)
+    weight = np.array([len(rows) / (len(WORDS) * [y for _, y in rows].count(y)) for _, y in rows])
+    others = ["alla vext quoi", "zz", "calma solo dena tschik", "é wrunk"]
+    want = []
+    for lang in sorted(WORDS):
+        y = np.array([1.0 if label == lang else -1.0 for _, label in rows])
+        mid_x, mid_y = np.average(x, axis=0, weights=weight), np.average(y, weights=weight)
+        # rows for the data, then rows for the penalty
+        left = np.vstack([(x - mid_x) * np.sqrt(weight)[:, None], np.sqrt(how.ridge * len(rows)) * np.eye(x.shape[1])])
+        right = np.concatenate([(y - mid_y) * np.sqrt(weight), np.zeros(x.shape[1])])
+        beta = np.linalg.lstsq(left, right, rcond=None)[0]
+        want.append((features([set(langid.slots_of(t, how).tolist()) for t in others]) - mid_x) @ beta + mid_y)
+    got = model.scores([langid.slots_of(t, how) for t in others])
+    assert model.languages == sorted(WORDS) and np.allclose(got, np.array(want).T, atol=1e-4)
+
     names, shares = model.predict([t for t, _ in rows] + [None, "", "12 34 _", "É"])
     assert names[: len(rows)] == [y for _, y in rows] and names[-4:-1] == ["und"] * 3 and names[-1] != "und"
     assert all(0 <= s <= 1 for s in shares)
 
 
+def test_batches_are_bounded_and_change_nothing():
+    how = langid.Settings(slots=1 << 10, landmarks=20)
+    rows = [(text(y, k), y) for y in WORDS for k in range(6)]
+    model = langid.train([langid.slots_of(t, how) for t, _ in rows], [y for _, y in rows], how)
+    texts = [t for t, _ in rows] + [None, "12", "alla " * 5000]
+    known = [t for t in texts if t and langid.has_letter(t)]
+    sizes = [[len(x) for x in part] for part in model.batches(known, 600)]
+    assert sum(map(len, sizes)) == len(known) and len(sizes) > 1
+    assert all(len(part) == 1 or sum(part) * len(model.languages) <= 600 for part in sizes)
+    whole, cut = model.predict(texts), model.predict(texts, 600)
+    assert whole[0] == cut[0] and np.allclose(whole[1], cut[1])
+
+
+def test_rows_of_a_fit_are_bounded_and_languages_counted(spark):
+    rows = [(k, text(y, k), y) for j, y in enumerate(WORDS) for k in range(j * 400, j * 400 + 400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    inner, langid.train = langid.train, lambda found, labels, how: seen.extend(labels) or inner(found, labels, how)
+    try:
+        model = langid.fit(df, langid.Settings(most_rows=60))
+    finally:
+        langid.train = inner
+    assert model.languages == sorted(WORDS) and len(seen) <= 90 and all(seen.count(y) <= 30 for y in WORDS)
+    with pytest.raises(ValueError, match="most_languages"):
+        langid.fit(df, langid.Settings(most_languages=2))
+
+
 def test_slots_are_the_distinct_ngrams():
     how = langid.Settings()
     assert len(langid.slots_of("ab ab ab", how)) == len({g for n in (2, 3, 4) for s in [" ab ab ab "] for g in (s[i : i + n] for i in range(len(s) - n + 1))})
