@@ -21,12 +21,18 @@ def mentions(name: Column, part: str) -> Column:
     return F.contains(F.lower(name), F.lit(part.lower()))
 
 
+def begins_with(content: Column, magic: str) -> Column:
+    """Whether binary content begins with the bytes that magic gives in upper-case hex; false for null and shorter content."""
+    return F.coalesce(F.hex(F.substring(content, 1, len(magic) // 2)) == magic, F.lit(False))
+
+
 def is_zip(content: Column) -> Column:
-    """The magic bytes of an archive; false for null and empty content."""
-    return F.coalesce(F.hex(F.substring(content, 1, 2)) == "504B", F.lit(False))
+    """The magic bytes of an archive."""
+    return begins_with(content, "504B")
 
 
-def head_bytes(content: Column, n: int = 100) -> Column:
+def head(content: Column, n: int = 100) -> Column:
+    """The first bytes of binary content, or characters of text."""
     return F.substring(content, 1, n)
 
 

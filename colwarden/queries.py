@@ -14,7 +14,7 @@ from .functions import scalar
 from .operators import compare, report, slim, verify
 from .plans.contract import CONTRACT_FIELDS, EARLIER_CONTRACT_FIELDS, ETL_FIELDS, PROBED_FIELD, relation, values_sql
 from .sources.archive import archive_headers
-from .sources.jobs import ExportRequest
+from .sources.jobs import ExportJob, ExportRequest
 from .streaming.landing import first_ends, within_limit
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,8 +234,8 @@ def sample_window(spark, sf_dir):
 
 @query("SELECT page_id, coalesce(starts_with(html, '<!'), false) AS is_markup, substr(html, 1, 100) AS head FROM pages")
 def head_slice(spark, sf_dir):
-    body = F.col("html").cast("binary")
-    return table(spark, sf_dir, "pages").select("page_id", F.coalesce(F.hex(F.substring(body, 1, 2)) == "3C21", F.lit(False)).alias("is_markup"), F.substring("html", 1, 100).alias("head"))
+    markup = scalar.begins_with(F.col("html").cast("binary"), "3C21")
+    return table(spark, sf_dir, "pages").select("page_id", markup.alias("is_markup"), scalar.head(F.col("html")).alias("head"))
 
 
 @query(f"""SELECT line FROM (SELECT 1 AS k, repeat('=', 70) AS line UNION ALL SELECT 2, 'available: 53 of 54' UNION ALL SELECT 3, 'missing:'
@@ -253,7 +253,9 @@ def packed(entries: Sequence[tuple[str, bytes]]) -> bytes:
     return out.getvalue()
 
 
-@query()
+@query("""SELECT 'good.zip' AS path, 'Data.CSV' AS entry, list(field ORDER BY pos) || ['extra', 'action_date'] AS fields, NULL::VARCHAR AS reason FROM contract
+UNION ALL SELECT 'short.zip', 'd.csv', list(field ORDER BY pos DESC), NULL FROM etl
+UNION ALL SELECT 'none.zip', NULL, []::VARCHAR[], 'no CSV entry' UNION ALL SELECT 'text.zip', NULL, []::VARCHAR[], 'not a ZIP archive'""")
 def archive_headers_query(spark, sf_dir):
     """Headers of archives made on the spot: one complete, one shuffled and short of a field, one without a CSV, one not ZIP."""
     full = ",".join(CONTRACT_FIELDS).encode()
@@ -268,6 +270,19 @@ def archive_headers_query(spark, sf_dir):
 
 
 QUERIES["archive_headers"] = QUERIES.pop("archive_headers_query")
+ORACLE_SQL["archive_headers"] = ORACLE_SQL.pop("archive_headers_query")
+
+
+@query("""SELECT line FROM (SELECT 1 AS k, repeat('=', 70) AS line UNION ALL SELECT 2, 'available: 54 of 54' UNION ALL SELECT 3, 'missing: none'
+UNION ALL SELECT 4, 'related:' UNION ALL SELECT 5, '  - ' || field FROM (SELECT field FROM contract UNION SELECT 'solicitation_procedures_code')
+WHERE contains(field, 'solicitation') UNION ALL SELECT 6, 'all required fields are available')""")
+def export_run(spark, sf_dir):
+    """The report of a whole run against the offline transport, from submit to verdict."""
+    from .sources.landed import verify_export
+    from .sources.offline import OfflineTransport, landing_folder
+
+    job = ExportJob("offline://awards", OfflineTransport())
+    return report.lines(verify_export(spark, job, ExportRequest.sample(date(2025, 9, 24)), landing_folder(spark)).summary)
 
 
 def pushdown_source(spark: SparkSession, sf_dir: str) -> DataFrame:

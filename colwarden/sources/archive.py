@@ -74,8 +74,12 @@ def clean(cell: str) -> str:
 
 
 def header_of(content: bytes, strip_bom: bool = False) -> tuple[str, list[str]]:
-    """(entry, names in order, repeats kept)."""
-    file = io.BytesIO(content)
+    """header_in for an archive in memory."""
+    return header_in(io.BytesIO(content), strip_bom)
+
+
+def header_in(file: BinaryIO, strip_bom: bool = False) -> tuple[str, list[str]]:
+    """(entry, names in order, repeats kept) of the first CSV entry; no more of the file is read than that takes."""
     entry = csv_entries(file)[0]
     text = open_entry(file, entry, strip_bom)
     try:

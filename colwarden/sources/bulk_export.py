@@ -12,9 +12,7 @@ inflate it as they go.
 
 from __future__ import annotations
 
-import importlib
 import json
-import uuid
 from collections.abc import Iterable, Iterator
 from datetime import date
 
@@ -23,11 +21,8 @@ from pyspark.sql.types import StructType
 
 from ..plans.contract import CONTRACT_FIELDS, raw_schema
 from .archive import csv_entries, open_entry, rows_of
-from .jobs import AWARD_TYPES, ExportJob, ExportRequest, HttpTransport
-
-
-class ExportFailed(RuntimeError):
-    """The job ended without a file."""
+from .jobs import AWARD_TYPES, ExportJob, ExportRequest, transport_of
+from .landed import ExportFailed, land, open_folder
 
 
 class BulkExport(DataSource):
@@ -71,37 +66,20 @@ class BulkExportReader(DataSourceReader):
                     self.end = min(self.end, bound)
         return filters
 
-    def transport(self):
-        if not (spec := self.options.get("transport")):
-            return HttpTransport()
-        module, _, name = spec.partition(":")
-        return getattr(importlib.import_module(module), name)(**json.loads(self.options.get("transport_options", "{}")))
-
     def partitions(self) -> list[Landed]:
         if self.start > self.end:
             return []
         types = self.options.get("award_types")
         request = ExportRequest(self.start, self.end, [t.strip() for t in types.split(",")] if types else AWARD_TYPES)
-        content, reason = ExportJob(self.options["endpoint"], self.transport()).fetch(request)
-        if reason:
-            raise ExportFailed(reason)
-        store, folder = _open(self.options["landing"])
-        store.create_dir(folder, recursive=True)
-        path = f"{folder}/export-{uuid.uuid4().hex}.zip"
-        with store.open_output_stream(path) as out:
-            out.write(content)
+        transport = transport_of(self.options.get("transport"), json.loads(self.options.get("transport_options", "{}")))
+        path = land(ExportJob(self.options["endpoint"], transport), request, self.options["landing"])
+        store, _ = open_folder(self.options["landing"])
         with store.open_input_file(path) as file:
             return [Landed(path, nth) for nth in range(len(csv_entries(file)))]
 
     def read(self, partition: Landed) -> Iterator[tuple]:
         if not isinstance(partition, Landed):
             return
-        store, _ = _open(self.options["landing"])
+        store, _ = open_folder(self.options["landing"])
         with store.open_input_file(partition.path) as file:
             yield from map(tuple, rows_of(open_entry(file, csv_entries(file)[partition.nth]), self.fields))
-
-
-def _open(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")

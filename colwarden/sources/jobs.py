@@ -5,25 +5,35 @@ Tasks may be retried, a request must not be; so no task ever talks to the servic
 
 from __future__ import annotations
 
+import importlib
+import io
 import json
+import logging
 import time
 import urllib.request
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import AbstractContextManager, nullcontext
 from dataclasses import dataclass, field
 from datetime import date, timedelta
-from typing import Protocol
+from typing import BinaryIO, Protocol
 
 # What the service is asked for and how long it is waited for.
 AWARD_TYPES = ("A", "B", "C", "D", "IDV_A", "IDV_B", "IDV_B_A", "IDV_B_B", "IDV_B_C", "IDV_C", "IDV_D", "IDV_E")
 SUBMIT_TIMEOUT_S, STATUS_TIMEOUT_S, DOWNLOAD_TIMEOUT_S = 60, 30, 60
 POLL_INTERVAL_S, MAX_WAIT_MINUTES, SAMPLE_DAYS = 10, 5, 2
 
+#: Bytes of a download that are held at once.
+PIECE = 1 << 20
+
 
 class Transport(Protocol):
     def post(self, url: str, document: Mapping, timeout: float) -> bytes: ...
 
     def get(self, url: str, timeout: float) -> bytes: ...
 
+    def pieces(self, url: str, timeout: float) -> Iterator[bytes]:
+        """What get returns, piece by piece."""
+
 
 class HttpTransport:
     """The standard library's client; statuses of 400 and more raise."""
@@ -37,8 +47,20 @@ class HttpTransport:
             return r.read()
 
     def get(self, url: str, timeout: float) -> bytes:
+        return b"".join(self.pieces(url, timeout))
+
+    def pieces(self, url: str, timeout: float) -> Iterator[bytes]:
         with urllib.request.urlopen(urllib.request.Request(url, headers=self.headers), timeout=timeout) as r:
-            return r.read()
+            while piece := r.read(PIECE):
+                yield piece
+
+
+def transport_of(spec: str | None, options: Mapping | None = None) -> Transport:
+    """The transport that ``module:callable`` makes; HTTP without a spec."""
+    if not spec:
+        return HttpTransport()
+    module, _, name = spec.partition(":")
+    return getattr(importlib.import_module(module), name)(**(options or {}))
 
 
 @dataclass(frozen=True)
@@ -88,6 +110,11 @@ class ExportJob:
     sleep: Callable[[float], None] = time.sleep
     log: list[str] = field(default_factory=list)
 
+    def say(self, line: str) -> None:
+        """Progress, kept in order and given to the logger of this package."""
+        self.log.append(line)
+        logging.getLogger("colwarden").info(line)
+
     def submit(self, request: ExportRequest) -> Handles:
         """One request, never repeated. Any failure gives empty handles."""
         try:
@@ -107,8 +134,9 @@ class ExportJob:
             try:
                 status = json.loads(self.transport.get(status_url, STATUS_TIMEOUT_S)).get("status", "").lower()
             except Exception as e:  # noqa: BLE001
-                self.log.append(f"status check failed: {e}")
+                self.say(f"status check failed: {e}")
                 status = ""
+            self.say(f"check {checks}: {status or 'no status'}")
             if status == "finished":
                 return Waited(True, status, checks)
             if status in ("failed", "error"):
@@ -116,23 +144,39 @@ class ExportJob:
             self.sleep(POLL_INTERVAL_S)
         return Waited(False, "timed out", checks)
 
-    def download(self, file_url: str | None) -> bytes:
-        """The whole file; empty without an address or after any failure."""
-        if not file_url:
-            return b""
+    def download_to(self, file_url: str | None, out: BinaryIO) -> int:
+        """Write the file to out as it arrives; its size, or 0 without an address or after any failure."""
+        size = 0
         try:
-            return self.transport.get(file_url, DOWNLOAD_TIMEOUT_S)
+            for piece in self.transport.pieces(file_url, DOWNLOAD_TIMEOUT_S) if file_url else ():
+                out.write(piece)
+                size += len(piece)
         except Exception as e:  # noqa: BLE001
-            self.log.append(f"download failed: {e}")
-            return b""
+            self.say(f"download failed: {e}")
+            return 0
+        return size
 
-    def fetch(self, request: ExportRequest, max_wait_minutes: float = MAX_WAIT_MINUTES) -> tuple[bytes, str | None]:
-        """(archive, None), or (empty, why the job ended)."""
+    def download(self, file_url: str | None) -> bytes:
+        """The whole file; empty without an address or after any failure."""
+        out = io.BytesIO()
+        return out.getvalue() if self.download_to(file_url, out) else b""
+
+    def fetch_to(self, request: ExportRequest, opener: Callable[[], AbstractContextManager], max_wait_minutes: float = MAX_WAIT_MINUTES) -> str | None:
+        """Submit, wait, and download to what opener opens, which happens once the file is there. None, or why the job ended."""
         handles = self.submit(request)
         if not handles.status_url:
-            return b"", handles.reason
+            return handles.reason
+        self.say("submitted")
         waited = self.wait(handles.status_url, max_wait_minutes)
         if not waited.ok:
-            return b"", f"waiting failed: {waited.reason}"
-        content = self.download(handles.file_url)
-        return content, None if content else "download failed"
+            return f"waiting failed: {waited.reason}"
+        with opener() as out:
+            size = self.download_to(handles.file_url, out)
+        self.say(f"downloaded {size} bytes")
+        return None if size else "download failed"
+
+    def fetch(self, request: ExportRequest, max_wait_minutes: float = MAX_WAIT_MINUTES) -> tuple[bytes, str | None]:
+        """(archive, None), or (empty, why the job ended)."""
+        out = io.BytesIO()
+        reason = self.fetch_to(request, lambda: nullcontext(out), max_wait_minutes)
+        return b"" if reason else out.getvalue(), reason

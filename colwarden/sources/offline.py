@@ -6,7 +6,7 @@ import io
 import json
 import tempfile
 import zipfile
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
@@ -54,3 +54,7 @@ class OfflineTransport:
             return self.file
         self.pending -= 1
         return json.dumps({"status": "running" if self.pending >= 0 else "Finished"}).encode()
+
+    def pieces(self, url: str, timeout: float) -> Iterator[bytes]:
+        whole = self.get(url, timeout)
+        yield from (whole[at : at + 10_000] for at in range(0, len(whole), 10_000))

@@ -35,6 +35,3 @@ def within_limit(ends: DataFrame, begun: Column, minutes: float) -> DataFrame:
     """ends, where what ended after the limit counts as timed out."""
     late = F.col("ended_at") >= begun + F.make_dt_interval(mins=F.lit(int(minutes)))
     return ends.withColumn("state", F.when(late | F.col("ended_at").isNull(), "timed out").otherwise(F.col("state")))
-
-
-TERMINAL = (FINISHED, FAILED)

@@ -2,6 +2,7 @@ import io
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from colwarden.plans.contract import CONTRACT_FIELDS
 from colwarden.queries import packed
@@ -85,6 +86,15 @@ def test_rows(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("3", "1", None), (None, "u\nv", None)]
 
 
+def test_magic_bytes(spark):
+    from colwarden.functions import scalar
+
+    rows = [(bytearray(b), k) for k, b in enumerate([b"PK\x03\x04", b"PK", b"P", b"", b"<html>"])] + [(None, 5)]
+    got = spark.createDataFrame(rows, "c binary, k int").select("k", scalar.is_zip(F.col("c")).alias("zip"), scalar.head(F.col("c"), 2).alias("head")).orderBy("k").collect()
+    assert [r["zip"] for r in got] == [True, True, False, False, False, False]
+    assert [r["head"] for r in got] == [b"PK", b"PK", b"P", b"", b"<h", None]
+
+
 def test_stream(spark, tmp_path):
     folder = tmp_path / "landing"
     folder.mkdir()

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from colwarden.shipping import ship
 from colwarden.sources.bulk_export import BulkExport, BulkExportReader
 from colwarden.sources.jobs import AWARD_TYPES, ExportJob, ExportRequest
+from colwarden.sources.landed import ExportFailed, land, main, verify_export
 from colwarden.sources.offline import OfflineTransport
-from colwarden.plans.contract import raw_schema
+from colwarden.plans.contract import CONTRACT_FIELDS, raw_schema
+from colwarden.queries import packed
 from colwarden.streaming.landing import first_ends, within_limit
 
 
@@ -42,6 +44,10 @@ class Script:
             raise answer
         return answer if isinstance(answer, bytes) else json.dumps(answer).encode()
 
+    def pieces(self, url, timeout):
+        whole = self.get(url, timeout)
+        yield from (whole[k : k + 7] for k in range(0, len(whole), 7))
+
 
 def job(script):
     clock = Clock()
@@ -128,3 +134,49 @@ def test_replay(spark):
     assert got == {1: ("finished", t(2)), 2: ("pending", None), 3: ("failed", t(9)), 4: ("finished", t(1))}
     late = within_limit(first_ends(log, "job", "ts", "id", "status"), F.lit(t(0)).cast("timestamp_ntz"), 5)
     assert {r["job"]: r["state"] for r in late.collect()} == {1: "finished", 2: "timed out", 3: "timed out", 4: "finished"}
+
+
+GOOD = packed([("a.csv", ",".join(CONTRACT_FIELDS).encode() + b"\n")])
+FINISHED = {"status": "finished"}
+
+
+@pytest.mark.parametrize(
+    ("script", "status", "reason", "asked"),
+    [
+        (Script(submit=OSError("no")), 2, "submit failed: no", []),
+        (Script({"status": "failed"}), 2, "waiting failed: failed", ["s"]),
+        (Script({"status": "running"}), 2, "waiting failed: timed out", ["s"] * 30),
+        (Script(FINISHED, file=OSError("cut")), 2, "download failed", ["s", "f"]),
+        (Script(FINISHED, file=b""), 2, "download failed", ["s", "f"]),
+        (Script(FINISHED, file=b"<html>"), 2, "not a ZIP archive", ["s", "f"]),
+        (Script(FINISHED, file=packed([("a.csv", b"\nx\n")])), 2, "no fields were discovered", ["s", "f"]),
+        (Script(FINISHED, file=packed([("a.csv", b"award_type,action_date\n")])), 1, None, ["s", "f"]),
+        (Script(FINISHED, file=GOOD), 0, None, ["s", "f"]),
+    ],
+)
+def test_run(spark, tmp_path, script, status, reason, asked):
+    own, _ = job(script)
+    outcome = verify_export(spark, own, ExportRequest.sample(), tmp_path.as_uri())
+    assert (outcome.status, outcome.reason) == (status, reason)
+    assert [u for u, _ in script.gets] == asked and len(script.posts) == 1  # nothing is repeated, nothing follows a failure
+    assert (outcome.summary is None) == (status == 2) and own.log
+    if status < 2:
+        row = outcome.summary.first()
+        assert row["all_available"] == (status == 0) and row["available"] == (54 if status == 0 else 2)
+
+
+def test_landing_keeps_whole_files_only(tmp_path):
+    class Cut(Script):
+        def pieces(self, url, timeout):
+            yield b"PK12"
+            raise OSError("cut")
+
+    with pytest.raises(ExportFailed, match="download failed"):
+        land(job(Cut(FINISHED))[0], ExportRequest.sample(), tmp_path.as_uri())
+    assert not list(tmp_path.iterdir())
+    assert open(land(job(Script(FINISHED, file=GOOD))[0], ExportRequest.sample(), str(tmp_path)), "rb").read() == GOOD
+
+
+def test_command(spark, tmp_path, capsys):
+    assert main(["offline://awards", str(tmp_path), "--transport", "colwarden.sources.offline:OfflineTransport"]) == 0
+    assert "available: 54 of 54" in capsys.readouterr().out
