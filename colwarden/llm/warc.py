@@ -2,17 +2,20 @@
 
 Crawlers leave archives that are one gzip stream from end to end; a reader must inflate all of it to reach one record. The
 normaliser inflates such a file once, as a stream, and writes every record as a gzip member of its own, with a sidecar
-index of offsets, so that any record is one seek and one small inflate. On that pass a record whose payload is held by
-another one is turned into a revisit of it.
+index of offsets, so that any record is one seek and one small inflate. Heads and blocks stay byte by byte as they are,
+whatever the record's type and whoever wrote it. The same pass tells the digests of response payloads; afterwards a
+response whose payload another one holds becomes a revisit of it: members are copied as they are packed, and only those
+that turn are inflated again, to keep their HTTP head and all header lines but type, length and block digest.
 
 Files are written by tasks to shared storage (any file system that pyarrow opens by URI), under names that no other task or
 attempt uses; the rows that tasks return name the files of the attempts that count. Payloads never leave the task that
-writes them: only ids and digests are compared, aggregated partially, so many equal payloads do not meet in one task.
-Files hold a bounded number of records, so a file's decisions fit in one row.
+holds them: only ids and digests are compared, aggregated partially, so many equal payloads do not meet in one task.
+Files that are written here hold a bounded number of records, so a file's decisions fit in one row.
 
 Defined results: a null page is an empty payload; a null url is written as ``about:blank``; of rows with equal payloads the
-largest id is the response, of rows with equal ids too just one; a null id is smaller than any; a revisit of a null id has
-a null refers_to. An empty table writes no file. Extra columns do not take part.
+largest id is the response, of rows with equal ids too just one; a null id is smaller than any, as is a record id that is
+not of this writer; a revisit of a null id has a null refers_to. Revisits that an archive brings along stay. An empty table
+writes no file. Very long pages are held whole, one at a time for each task. Extra columns do not take part.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -27,10 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import spill, workspace
+from .common import remove, spill, workspace
 
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+_OWN_ID = re.compile(r"<urn:x-page:(-?[0-9]+):[0-9a-f]{8}-[0-9]+>")
 RECORDS_PER_FILE, BYTES_PER_FILE = 4_096, 256 << 20
 
 
@@ -38,22 +44,53 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(kind: str, name: str, url: str | None, payload_digest: str, size: int, payload: bytes | None, refers_to: str | None = None, date: str = DATE) -> bytes:
-    """One WARC/1.1 record. A revisit keeps the HTTP head, which tells the payload's size, and no payload."""
-    block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode() + (payload or b"")
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:x-page:{name}>", f"WARC-Target-URI: {' '.join((url or 'about:blank').split())}", f"WARC-Date: {date}", f"WARC-Payload-Digest: sha1:{payload_digest}"]
-    if kind == "revisit":
-        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:x-page:{refers_to}>"]
-    lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
-    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+def record(kind: str, name: str, url: str | None, payload_digest: str, size: int, payload: bytes, date: str = DATE) -> bytes:
+    """One WARC/1.1 record of an HTTP answer."""
+    block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode() + payload
+    lines = [
+        "WARC/1.1",
+        f"WARC-Type: {kind}",
+        f"WARC-Record-ID: <urn:x-page:{name}>",
+        f"WARC-Target-URI: {' '.join((url or 'about:blank').split())}",
+        f"WARC-Date: {date}",
+        f"WARC-Payload-Digest: sha1:{payload_digest}",
+        "Content-Type: application/http; msgtype=response",
+        f"Content-Length: {len(block)}",
+    ]
+    return whole("\r\n".join(lines).encode(), block)
+
+
+def whole(head: bytes, block: bytes) -> bytes:
+    return head + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def revisit_of(head: bytes, block: bytes, refers_to: str) -> bytes:
+    """The record as a revisit: without its payload, all else of it kept but what tells type, length and block digest."""
+    http, end, _ = block.partition(b"\r\n\r\n")
+    block = http + end
+    new = {b"warc-type": b"revisit", b"content-length": str(len(block)).encode(), b"warc-block-digest": b"sha1:" + digest(block).encode()}
+    lines, turned = [], False
+    for line in head.split(b"\r\n"):
+        name, _, _ = line.partition(b":")
+        folded = line[:1] in (b" ", b"\t")  # belongs to the line before
+        if not folded and (turned := name.strip().lower() in new):
+            line = name + b": " + new[name.strip().lower()]
+        elif folded and turned:
+            continue
+        lines.append(line)
+    return whole(b"\r\n".join([*lines, f"WARC-Profile: {PROFILE}".encode(), f"WARC-Refers-To: {refers_to}".encode()]), block)
 
 
 def head_of(raw: bytes) -> dict[str, str]:
-    """Header fields by lower-cased name, without the version line."""
-    fields = {}
+    """Header fields by lower-cased name, without the version line; folded lines are joined by a blank."""
+    fields, name = {}, None
     for line in raw.decode("utf-8", "replace").split("\r\n")[1:]:
+        if line[:1] in (" ", "\t") and name is not None:
+            fields[name] += " " + line.strip()
+            continue
         name, _, value = line.partition(":")
-        fields[name.strip().lower()] = value.strip()
+        name = name.strip().lower()
+        fields[name] = value.strip()
     return fields
 
 
@@ -83,8 +120,8 @@ def inflate(chunks: Iterator[bytes]) -> Iterator[bytes]:
         raise Truncated("gzip member is not complete")
 
 
-def records_of(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header fields, block) of each record. Holds one record at a time."""
+def records_of(pieces: Iterator[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    """(head, block) of each record, as they are. Holds one record at a time."""
     pieces, held = iter(pieces), bytearray()
 
     def fill(size: int) -> bool:
@@ -107,11 +144,11 @@ def records_of(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]
             looked = len(held)
             if not fill(looked + 1):
                 raise Truncated("record head is not complete")
-        fields = head_of(bytes(held[:end]))
-        size = int(fields["content-length"])
+        head = bytes(held[:end])
+        size = int(head_of(head)["content-length"])
         if not fill(end + 4 + size):
             raise Truncated("record block is not complete")
-        yield fields, bytes(held[end + 4 : end + 4 + size])
+        yield head, bytes(held[end + 4 : end + 4 + size])
         del held[: end + 4 + size]
 
 
@@ -121,13 +158,10 @@ def payload_of(block: bytes) -> tuple[dict[str, str], bytes]:
     return head_of(head), payload
 
 
-def name_of(field: str) -> str:
-    return field.removeprefix("<urn:x-page:").removesuffix(">")
-
-
-def page_id_of(name: str) -> int | None:
-    ident = name.split(":")[0]
-    return None if ident in ("null", "None") else int(ident)
+def page_id_of(record_id: str | None) -> int | None:
+    """The page id in a record id of this writer; null for null pages and for record ids of others."""
+    found = _OWN_ID.fullmatch(record_id or "")
+    return int(found[1]) if found else None
 
 
 def storage(folder: str):
@@ -145,129 +179,198 @@ def chunks_of(stream, size: int = 1 << 20) -> Iterator[bytes]:
         yield data
 
 
+def rows_as(schema: str, rows: list[tuple]):
+    """An Arrow batch of rows by a schema of Spark's string, longs, ints and strings only."""
+    import pyarrow as pa
+
+    types = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    fields = [tuple(x.split()) for x in schema.split(", ")]
+    cols = zip(*rows, strict=True) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(cols, fields, strict=True)], names=[n for n, _ in fields])
+
+
 def write_monolithic(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", level: int = 1) -> DataFrame:
-    """Write every row as a response record, in files of one gzip stream each. (file, seq, page_id, digest) for every record."""
+    """Write every row as a response record, in files of one gzip stream each. (file, n_records) for every file."""
     ship(pages.sparkSession)
+    schema = "file string, n_records long"
 
     def work(batches: Iterator) -> Iterator:
-        import uuid
-
-        import pyarrow as pa
-
         store, path = storage(folder)
         stream = engine = None
         seq = size = 0
         for batch in batches:
-            rows = []
             for ident, url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if stream is None or seq >= RECORDS_PER_FILE or size >= BYTES_PER_FILE:
                     if stream is not None:
                         stream.write(engine.flush())
                         stream.close()
+                        yield rows_as(schema, [(file, seq)])
                     file, seq, size = f"mono-{uuid.uuid4().hex}.warc.gz", 0, 0
                     stream, engine = store.open_output_stream(f"{path}/{file}", compression=None), zlib.compressobj(level, zlib.DEFLATED, 31)
                 payload = html.as_py() or b""
-                told = digest(payload)
-                raw = record("response", f"{'null' if ident is None else ident}:{file[5:13]}-{seq}", url, told, len(payload), payload)
+                raw = record("response", f"{'null' if ident is None else ident}:{file[5:13]}-{seq}", url, digest(payload), len(payload), payload)
                 stream.write(engine.compress(raw))
-                rows.append((file, seq, ident, told))
                 seq, size = seq + 1, size + len(raw)
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string())], names=["file", "seq", "page_id", "digest"])
         if stream is not None:
             stream.write(engine.flush())
             stream.close()
+            yield rows_as(schema, [(file, seq)])
 
     source = pages.select(F.col(id_col).cast("long"), F.col(url_col).cast("string"), F.col(html_col).cast("binary"))
-    return source.mapInArrow(work, "file string, seq int, page_id long, digest string")
+    return source.mapInArrow(work, schema)
+
+
+class Members:
+    """A file of one gzip member for each record, and its sidecar index of a JSON line for each."""
+
+    def __init__(self, store, path: str):
+        self.out = store.open_output_stream(path, compression=None)
+        self.side = store.open_output_stream(f"{path}.idx")
+        self.at = 0
+
+    def __enter__(self) -> Members:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.out.close()
+        self.side.close()
+
+    def add(self, member: bytes, ident: str | None, kind: str | None, told: str | None) -> None:
+        self.out.write(member)
+        self.side.write(json.dumps({"offset": self.at, "length": len(member), "id": ident, "type": kind, "digest": told}).encode() + b"\n")
+        self.at += len(member)
+
+
+def packed(raw: bytes, level: int) -> bytes:
+    engine = zlib.compressobj(level, zlib.DEFLATED, 31)
+    return engine.compress(raw) + engine.flush()
+
+
+def normalise(files: DataFrame, source: str, target: str, level: int = 4) -> DataFrame:
+    """Rewrite every file of the folder source that files names, with a member per record, to the folder target.
+
+    (file, seq, id, page_id, digest) for each record, by the new file's name; digest is null for all but HTTP responses.
+    """
+    ship(files.sparkSession)
+    schema = "file string, seq int, id string, page_id long, digest string"
+
+    def work(batches: Iterator) -> Iterator:
+        store, path = storage(source)
+        target_store, target_path = storage(target)
+        for batch in batches:
+            for file in batch.column(0).to_pylist():
+                name, rows = f"norm-{uuid.uuid4().hex}.warc.gz", []
+                with store.open_input_stream(f"{path}/{file}", compression=None) as stream, Members(target_store, f"{target_path}/{name}") as out:
+                    for seq, (head, block) in enumerate(records_of(inflate(chunks_of(stream)))):
+                        fields = head_of(head)
+                        kind, ident = fields.get("warc-type"), fields.get("warc-record-id")
+                        told = digest(payload_of(block)[1]) if kind == "response" and block.startswith(b"HTTP/") and ident else None
+                        out.add(packed(whole(head, block), level), ident, kind, told)
+                        rows.append((name, seq, ident, page_id_of(ident), told))
+                for at in range(0, len(rows), 2048):
+                    yield rows_as(schema, rows[at : at + 2048])
+
+    return files.select("file").mapInArrow(work, schema)
 
 
 def revisits(index: DataFrame) -> DataFrame:
-    """(file, seqs, refers_to) for every file of index: which of its records repeat another's payload, and whose."""
-    last = index.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("page_id", "file", "seq")).alias("last")).where("n > 1").select("digest", "last")
+    """(file, again) for every file of index: which of its records repeat another's payload, and whose, as (seq, id)."""
+    told = index.where("digest IS NOT NULL")
+    last = told.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("page_id", "file", "seq", "id")).alias("last")).where("n > 1").select("digest", "last")
     last = spill(last, "last")  # a join of two plain shuffles may be split at a hot digest
-    again = index.join(last, "digest").where("file <> last.file OR seq <> last.seq")
-    name = F.concat(F.coalesce(F.col("last.page_id").cast("string"), F.lit("null")), F.lit(":"), F.substring("last.file", 6, 8), F.lit("-"), F.col("last.seq"))
-    each = index.select("file", F.lit(None).cast("int").alias("seq"), F.lit(None).cast("string").alias("name")).distinct().unionByName(again.select("file", "seq", name.alias("name")))
-    return each.groupBy("file").agg(F.collect_list(F.when(F.col("seq").isNotNull(), F.struct("seq", "name"))).alias("again"))
+    again = told.join(last, "digest").where("file <> last.file OR seq <> last.seq").select("file", "seq", F.col("last.id").alias("id"))
+    each = index.select("file").distinct().select("file", F.lit(None).cast("int").alias("seq"), F.lit(None).cast("string").alias("id")).unionByName(again)
+    return each.groupBy("file").agg(F.collect_list(F.when(F.col("seq").isNotNull(), F.struct("seq", "id"))).alias("again"))
 
 
-def normalise(work_list: DataFrame, folder: str, level: int = 4) -> DataFrame:
-    """Rewrite the files of work_list (file, again) with a member per record. (file, index_file, n_records) of each new file."""
+def settle(work_list: DataFrame, source: str, target: str, level: int = 4) -> DataFrame:
+    """Copy the normalised files of work_list (file, again) from one folder to another, the records in again as revisits.
+
+    (file, index_file, n_records) of each. Members are copied without being inflated, but for those that become revisits.
+    """
     ship(work_list.sparkSession)
+    schema = "file string, index_file string, n_records long"
 
     def work(batches: Iterator) -> Iterator:
-        import uuid
-
-        import pyarrow as pa
-
-        store, path = storage(folder)
+        store, path = storage(source)
+        target_store, target_path = storage(target)
         for batch in batches:
             for file, again in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                turned = {x["seq"]: x["name"] for x in again}
-                name = f"norm-{uuid.uuid4().hex}.warc.gz"
-                at, seq = 0, -1
-                with store.open_input_stream(f"{path}/{file}", compression=None) as source, store.open_output_stream(f"{path}/{name}", compression=None) as out, store.open_output_stream(f"{path}/{name}.idx") as side:
-                    for seq, (fields, block) in enumerate(records_of(inflate(chunks_of(source)))):
-                        http, payload = payload_of(block)
-                        kind = "revisit" if seq in turned else fields["warc-type"]
-                        told = fields.get("warc-payload-digest", "").removeprefix("sha1:") or digest(payload)
-                        ident = name_of(fields["warc-record-id"])
-                        raw = record(kind, ident, fields.get("warc-target-uri"), told, int(http.get("content-length", len(payload))), None if kind == "revisit" else payload, turned.get(seq), fields.get("warc-date", DATE))
-                        engine = zlib.compressobj(level, zlib.DEFLATED, 31)
-                        member = engine.compress(raw) + engine.flush()
-                        out.write(member)
-                        side.write(json.dumps({"offset": at, "length": len(member), "id": ident, "type": kind, "digest": told}).encode() + b"\n")
-                        at += len(member)
-                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([f"{name}.idx"]), pa.array([seq + 1], pa.int64())], names=["file", "index_file", "n_records"])
-
-    return work_list.mapInArrow(work, "file string, index_file string, n_records long")
+                turned = {x["seq"]: x["id"] for x in again}
+                name, seq = f"norm-{uuid.uuid4().hex}.warc.gz", -1
+                with store.open_input_stream(f"{path}/{file}.idx") as side:
+                    entries = side.read().splitlines()
+                with store.open_input_stream(f"{path}/{file}", compression=None) as stream, Members(target_store, f"{target_path}/{name}") as out:
+                    for seq, entry in enumerate(map(json.loads, entries)):
+                        member, kind = stream.read(entry["length"]), entry["type"]
+                        if seq in turned:
+                            ((head, block),) = records_of([zlib.decompress(member, 31)])
+                            member, kind = packed(revisit_of(head, block, turned[seq]), level), "revisit"
+                        out.add(member, entry["id"], kind, entry["digest"])
+                yield rows_as(schema, [(name, f"{name}.idx", seq + 1)])
+
+    return work_list.select("file", "again").mapInArrow(work, schema)
 
 
 def read_members(files: DataFrame, folder: str) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record, each reached by its index entry.
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every response and revisit, each reached by its index entry.
 
-    A response's size and digest are those of the payload as read, and must be as told in its head.
+    A response's size and digest are those of the payload as read; of this writer's they must be as told in its head.
+    Records of other writers have a null page_id, and a null size or digest where a revisit's head tells none.
     """
     ship(files.sparkSession)
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
-    def work(batches: Iterator) -> Iterator:
-        import pyarrow as pa
+    def row_of(head: bytes, block: bytes) -> tuple:
+        fields, (http, payload) = head_of(head), payload_of(block)
+        kind, ident = fields["warc-type"], fields.get("warc-record-id")
+        told = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
+        size = int(http["content-length"]) if http.get("content-length", "").isdigit() else None
+        if kind == "revisit":
+            return page_id_of(ident), size, told, kind, page_id_of(fields.get("warc-refers-to"))
+        real = digest(payload)
+        if (ident or "").startswith("<urn:x-page:") and (len(payload) != size or real != told):
+            raise ValueError(f"record {ident} is not as its head tells")
+        return page_id_of(ident), len(payload), real, kind, None
 
-        types = {"long": pa.int64(), "string": pa.string()}
-        fields_of = [tuple(x.split()) for x in schema.split(", ")]
+    def work(batches: Iterator) -> Iterator:
         store, path = storage(folder)
         for batch in batches:
             for file, index_file in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 with store.open_input_stream(f"{path}/{index_file}") as side, store.open_input_file(f"{path}/{file}") as source:
                     rows = []
-                    for line in side.read().splitlines():
-                        entry = json.loads(line)
+                    for entry in map(json.loads, side.read().splitlines()):
+                        if entry["type"] not in ("response", "revisit"):
+                            continue
                         source.seek(entry["offset"])
-                        ((fields, block),) = records_of([zlib.decompress(source.read(entry["length"]), 31)])
-                        http, payload = payload_of(block)
-                        kind, told = fields["warc-type"], fields["warc-payload-digest"].removeprefix("sha1:")
-                        size = int(http["content-length"])
-                        if kind == "response" and (len(payload) != size or digest(payload) != told):
-                            raise ValueError(f"record {fields['warc-record-id']} is not as its head tells")
-                        refers = page_id_of(name_of(fields["warc-refers-to"])) if kind == "revisit" else None
-                        rows.append((page_id_of(name_of(fields["warc-record-id"])), size, told, kind, refers))
+                        ((head, block),) = records_of([zlib.decompress(source.read(entry["length"]), 31)])
+                        rows.append(row_of(head, block))
                         if len(rows) == 2048:
-                            yield pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(zip(*rows, strict=True), fields_of, strict=True)], names=[n for n, _ in fields_of])
+                            yield rows_as(schema, rows)
                             rows = []
                     if rows:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(zip(*rows, strict=True), fields_of, strict=True)], names=[n for n, _ in fields_of])
+                        yield rows_as(schema, rows)
 
     return files.select("file", "index_file").mapInArrow(work, schema)
 
 
+def rewrite(files: DataFrame, source: str, folder: str) -> DataFrame:
+    """Normalise the files of the folder source that files names, and turn repeated payloads to revisits. (file, index_file,
+    n_records) of the new files in folder. What is written between is removed.
+    """
+    spark, between = files.sparkSession, f"{folder.rstrip('/')}/between-{uuid.uuid4().hex[:12]}"
+    n = max(1, files.count())
+    index = spill(normalise(files.repartition(n), source, between), "records")
+    made = spill(settle(spill(revisits(index), "todo").repartition(n), between, folder), "members")
+    remove(spark, between)
+    return made
+
+
 def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write pages as monolithic archives, normalise them, and read them back by their indexes."""
     spark = pages.sparkSession
     folder = folder or workspace(spark, "warc")
-    index = spill(write_monolithic(pages, folder), "records")
-    todo = spill(revisits(index), "todo")
-    n = max(1, todo.count())
-    made = spill(normalise(todo.repartition(n), folder), "members")
-    return read_members(made.repartition(n), folder)
+    mono = f"{folder.rstrip('/')}/mono"
+    made = rewrite(spill(write_monolithic(pages, mono), "mono"), mono, folder)
+    remove(spark, mono)
+    return read_members(made.repartition(max(1, made.count())), folder)

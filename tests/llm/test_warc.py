@@ -60,6 +60,56 @@ def test_streams_of_any_cut():
         list(warc.records_of([raw[3][:-30]]))
 
 
+def foreign(kind, ident, block, *lines):
+    head = ["WARC/1.0", f"WARC-Type: {kind}", f"warc-record-id: <urn:uuid:{ident}>", *lines, f"Content-Length: {len(block)}"]
+    return warc.whole("\r\n".join(head).encode(), block)
+
+
+def test_records_of_other_writers_stay_as_they_are(spark, tmp_path):
+    missing = b"HTTP/1.1 404 Not Found\r\nServer: x\r\nTransfer-Encoding: chunked\r\n\r\n4\r\ngone\r\n0\r\n\r\n"
+    first = [
+        foreign("warcinfo", 1, b"software: y\r\n", "Content-Type: application/warc-fields"),
+        foreign("request", 2, b"GET / HTTP/1.1\r\n\r\n", "WARC-Target-URI: http://a/"),
+        foreign("response", 3, missing, "WARC-IP-Address: 10.0.0.1", "WARC-Block-Digest: sha1:OLD", " FOLDED", "X-Own: a", "\tb"),
+        foreign("metadata", 4, b"", "WARC-Concurrent-To: <urn:uuid:3>"),
+        foreign("response", 5, b"dns answer", "Content-Type: text/dns"),
+        foreign("response", 6, b"dns answer", "Content-Type: text/dns"),
+        foreign("revisit", 7, b"HTTP/1.1 304 Not Modified\r\n\r\n", "WARC-Refers-To: <urn:uuid:0>"),
+    ]
+    second = [foreign("response", 8, missing), foreign("response", 9, b"HTTP/1.1 200 OK\r\n\r\nalone")]
+    (tmp_path / "in").mkdir()
+    for name, raw in (("a.gz", first), ("b.gz", second)):
+        (tmp_path / "in" / name).write_bytes(gzip.compress(b"".join(raw)))
+    files = spark.createDataFrame([("a.gz",), ("b.gz",)], "file string")
+    made = warc.rewrite(files, (tmp_path / "in").as_uri(), (tmp_path / "out").as_uri())
+    got = {}
+    for r in made.collect():
+        raw = (tmp_path / "out" / r["file"]).read_bytes()
+        for entry in map(json.loads, (tmp_path / "out" / r["index_file"]).read_text().splitlines()):
+            got[entry["id"]] = gzip.decompress(raw[entry["offset"] : entry["offset"] + entry["length"]])
+    want = dict(zip((f"<urn:uuid:{k}>" for k in range(1, 10)), first + second, strict=True))
+    turned = [k for k in want if got[k] != want[k]]
+    assert got.keys() == want.keys() and len(turned) == 1 and turned[0] in ("<urn:uuid:3>", "<urn:uuid:8>")
+    other = {"<urn:uuid:3>": "<urn:uuid:8>", "<urn:uuid:8>": "<urn:uuid:3>"}[turned[0]]
+    ((head, block),) = warc.records_of([got[turned[0]]])
+    fields = warc.head_of(head)
+    assert block == missing[: missing.index(b"\r\n\r\n") + 4] and fields["warc-type"] == "revisit" and fields["warc-refers-to"] == other
+    rows = warc.read_members(made, (tmp_path / "out").as_uri()).collect()
+    assert sorted(r["record_type"] for r in rows) == ["response"] * 4 + ["revisit"] * 2 and all(r["page_id"] is None for r in rows)
+    assert not list((tmp_path / "out").glob("between*"))
+
+
+def test_a_revisit_keeps_the_other_header_lines():
+    block = b"HTTP/1.1 404 Not Found\r\nServer: x\r\n\r\ngone"
+    raw = foreign("response", 3, block, "WARC-IP-Address: 10.0.0.1", "WARC-Block-Digest: sha1:OLD", " FOLDED", "X-Own: a", "\tb")
+    ((head, kept),) = warc.records_of([raw])
+    ((head, kept),) = warc.records_of([warc.revisit_of(head, kept, "<urn:uuid:8>")])
+    assert kept == b"HTTP/1.1 404 Not Found\r\nServer: x\r\n\r\n"
+    fields = warc.head_of(head)
+    assert fields.pop("warc-profile") == warc.PROFILE
+    assert fields == {"warc-type": "revisit", "warc-record-id": "<urn:uuid:3>", "warc-ip-address": "10.0.0.1", "warc-block-digest": f"sha1:{warc.digest(kept)}", "x-own": "a b", "content-length": str(len(kept)), "warc-refers-to": "<urn:uuid:8>"}
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = [(r[0], r[1] or "") for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html").collect()]
