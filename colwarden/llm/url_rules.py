@@ -6,15 +6,17 @@ begin with it. Intervals of prefixes nest or are apart. Urls and rules are range
 one sweep per partition keeps a stack of the rules whose interval is open. Each entry of the stack holds the paths of one
 host's rules by length, and a url asks the stack from all open hosts for its longest path prefixes.
 
-Partitions are cut by (key, path, id), so a host with a third of all rows spreads over many of them. A rule that opens in
+Partitions are cut by (key, path, id, a running number), so a host with a third of all rows spreads over many of them, and
+so do equal rows. There are as many as rows_per_part asks for, the session's shuffle setting at least. A rule that opens in
 one partition may be open in later ones; the first key of each partition names its open ancestors, so those rules are joined
 to that partition and put on the stack before its sweep. Nothing is broadcast or collected, and the rule set may be as
-large as the urls.
+large as the urls. The urls move twice: to be cut, and by the number of their partition to the rules that wait for them.
 
 Defined results: a url that is null or has no ``://`` has an empty host and path, which no rule fits; ports and user names
 are part of the host as written; the longest rule (host and path together) wins, then the longer host, then block over
-allow; rows without a fitting rule get the default verdict; every input row returns once, repeated rows included; an empty
-table or an empty rule set works.
+allow; rows without a fitting rule get the default verdict; every input row returns once, repeated rows and null ids included; very
+long urls are read whole; extra columns of pages and rules, whatever their names, don't take part; an empty table or an
+empty rule set works.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import shared_root, small
+from .common import small, spill
 
 #: (verdict, host, path) of the production rule set.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -84,21 +86,24 @@ def _sweep(rows: Iterator[tuple], default: str) -> Iterator[tuple]:
         yield (ident, host, path, best[2] or None, best[3] or default)
 
 
-def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
-    """(page_id, host, path, rule, verdict) for every row of pages. rules: (verdict, host, path)."""
+def deal(urls: DataFrame, rules: DataFrame, parts: int) -> DataFrame:
+    """Urls and rules together, with the number of the range that each falls in as part."""
+    # a rule sorts before the urls of its own key: its path is compared as empty
+    rank = F.when(F.col("is_rule"), F.lit("")).otherwise(F.col("path"))
+    rows = urls.unionByName(rules).withColumn("rank", rank).withColumn("nth", F.monotonically_increasing_id())
+    dealt = rows.repartitionByRange(parts, "key", F.desc("is_rule"), "rank", "id", "nth").drop("rank", "nth")
+    return spill(dealt.withColumn("part", F.spark_partition_id()), "dealt")
+
+
+def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow", rows_per_part: int = 1_000_000) -> DataFrame:
+    """(page_id, host, path, rule, verdict) for every row of pages. rules: (verdict, host, path). Counts pages once."""
     ship(pages.sparkSession)
     host, path = host_and_path(F.col(url_col))
     urls = pages.select(F.col(id_col).cast("long").alias("id"), host.alias("host"), path.alias("path"))
     urls = urls.select(key_of(F.col("host")).alias("key"), F.lit(False).alias("is_rule"), "id", "host", "path", F.lit(None).cast("string").alias("verdict"))
     clean = rules.where("host IS NOT NULL AND host <> ''").select(key_of(F.col("host")).alias("key"), F.lit(True).alias("is_rule"), F.lit(None).cast("long").alias("id"), "host", F.coalesce("path", F.lit("")).alias("path"), "verdict").distinct()
-    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # a rule sorts before the urls of its own key: its path is compared as empty
-    rank = F.when(F.col("is_rule"), F.lit("")).otherwise(F.col("path"))
-    dealt = urls.unionByName(clean).withColumn("rank", rank).repartitionByRange(parts, "key", F.desc("is_rule"), "rank", "id")
-    dealt = dealt.sortWithinPartitions("key", F.desc("is_rule"), "rank", "id").drop("rank").withColumn("part", F.spark_partition_id())
-    # a checkpoint, not a table: its partitions stay as they are, while a table's files may be split or joined when read
-    shared_root(pages.sparkSession)
-    dealt = dealt.checkpoint()
+    parts = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pages.count() // rows_per_part))
+    dealt = deal(urls, clean, parts)
     # the ancestors of each partition's first key are the intervals that may be open where it begins
     firsts = dealt.groupBy("part").agg(F.min("key").alias("first"))
     dots = F.filter(F.sequence(F.lit(1), F.char_length("first")), lambda i: F.substring("first", i, 1) == ".")
@@ -106,7 +111,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     ancestors = firsts.where("first <> ''").select("part", F.explode(above).alias("key"))
     carried = dealt.where("is_rule").drop("part").join(ancestors, "key").select(*dealt.columns)
     # rules sort before what they cover, carried ones before all else of the partition
-    swept = dealt.unionByName(carried).repartition(parts, "part").sortWithinPartitions("part", "key", F.desc("is_rule"))
+    swept = dealt.unionByName(carried).repartitionById(parts, "part").sortWithinPartitions("part", "key", F.desc("is_rule"))
 
     def work(batches: Iterator) -> Iterator:
         import pyarrow as pa

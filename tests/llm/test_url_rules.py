@@ -24,9 +24,9 @@ def brute(url, rules, default="allow"):
 ODD = [None, "", "no scheme", "http://", "http://NET", "http://net/", "https://a.Example.NET/en/x?y#z", "https://example.net/en", "https://example.net:80/en/", "x://u@example.com/de/1", "https://notexample.com/de/", "http://a.org/fr/", "http://a.org/fr", "http://.net/", "http://a..net/b", "https://x.org?u=http://a.net/", "https://x.org#/fr/", "http://İ.net/é", "a://b://c.net/d"]
 
 
-def check(spark, urls, rules):
+def check(spark, urls, rules, **options):
     df = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")
-    got = sorted(tuple(r) for r in ur.judge(df, ur.rule_table(spark, rules) if rules else spark.createDataFrame([], "verdict string, host string, path string")).collect())
+    got = sorted(tuple(r) for r in ur.judge(df, ur.rule_table(spark, rules) if rules else spark.createDataFrame([], "verdict string, host string, path string"), **options).collect())
     assert got == [(i, *brute(u, rules)) for i, u in enumerate(urls)]
 
 
@@ -36,6 +36,22 @@ def test_odd_urls(spark):
     check(spark, [], list(ur.RULES))
 
 
+def test_many_parts_and_very_long_urls(spark):
+    long = ["https://" + "a." * 3_000 + "example.net/en/" + "x" * 200_000, "https://example.com/de/" + "é" * 100_000, "https://" + "b" * 100_000]
+    check(spark, ODD * 3 + long, [*ur.RULES, ("allow", "a.a.example.net", "/"), ("block", "a.example.net", "/en/x")], rows_per_part=2)
+
+
+def test_equal_rows_spread_and_return(spark):
+    row = ("net.a.", False, None, "a.net", "/", None)
+    schema = "key string, is_rule boolean, id long, host string, path string, verdict string"
+    dealt = ur.deal(spark.createDataFrame([row] * 2_000, schema).repartition(4), spark.createDataFrame([], schema), 5)
+    per = [r["count"] for r in dealt.groupBy("part").count().collect()]
+    assert sum(per) == 2_000 and max(per) < 1_000
+    pages = spark.createDataFrame([(None, "http://a.net/")] * 500, "page_id long, url string").repartition(4)
+    got = ur.judge(pages, ur.rule_table(spark, ur.RULES), rows_per_part=50).collect()
+    assert len(got) == 500 and {tuple(r) for r in got} == {(None, "a.net", "/", "net/", "block")}
+
+
 def test_ids_are_kept_exactly(spark):
     ids = [2**62 + 1, 2**53 + 1, -5, None, 7, 7]
     df = spark.createDataFrame([(i, "http://a.net/x") for i in ids], "page_id long, url string")
