@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import suppress
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +23,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset (tests), a temporary one."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, a temporary one in local mode, and
+    an error on a cluster, whose executors could not reach it.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         if jvm_dir.isDefined():
             return jvm_dir.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="colwarden-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext._jsc.sc().getCheckpointDir().get()
@@ -56,10 +61,8 @@ def _sweep() -> None:
         if path.startswith("file:"):
             shutil.rmtree(path.removeprefix("file:").replace("///", "/"), ignore_errors=True)
         elif spark is not None:
-            try:
+            with suppress(Exception):  # the session may be ending; one folder that stays must not keep the others
                 remove(spark, path)
-            except Exception:  # the session may be ending; what is left is temporary anyway  # noqa: BLE001
-                return
 
 
 def spill(df: DataFrame, name: str) -> DataFrame:
