@@ -354,13 +354,16 @@ def read_members(files: DataFrame, folder: str) -> DataFrame:
     return files.select("file", "index_file").mapInArrow(work, schema)
 
 
-def rewrite(files: DataFrame, source: str, folder: str) -> DataFrame:
+def rewrite(files: DataFrame, source: str, folder: str, drop_source: bool = False) -> DataFrame:
     """Normalise the files of the folder source that files names, and turn repeated payloads to revisits. (file, index_file,
-    n_records) of the new files in folder. What is written between is removed.
+    n_records) of the new files in folder. What is written between is removed; with drop_source the folder source too, as
+    soon as all its records are stored anew.
     """
     spark, between = files.sparkSession, f"{folder.rstrip('/')}/between-{uuid.uuid4().hex[:12]}"
     n = max(1, files.count())
     index = spill(normalise(files.repartition(n), source, between), "records")
+    if drop_source:
+        remove(spark, source)
     made = spill(settle(spill(revisits(index), "todo").repartition(n), between, folder), "members")
     remove(spark, between)
     return made
@@ -368,9 +371,7 @@ def rewrite(files: DataFrame, source: str, folder: str) -> DataFrame:
 
 def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write pages as monolithic archives, normalise them, and read them back by their indexes."""
-    spark = pages.sparkSession
-    folder = folder or workspace(spark, "warc")
+    folder = folder or workspace(pages.sparkSession, "warc")
     mono = f"{folder.rstrip('/')}/mono"
-    made = rewrite(spill(write_monolithic(pages, mono), "mono"), mono, folder)
-    remove(spark, mono)
+    made = rewrite(spill(write_monolithic(pages, mono), "mono"), mono, folder, drop_source=True)
     return read_members(made.repartition(max(1, made.count())), folder)
