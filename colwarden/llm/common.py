@@ -99,3 +99,49 @@ def small(batches: Iterator, rows: int = 256) -> Iterator:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def slices(batches: Iterator, column: int = -1, rows: int = 256, size: int = 4 << 20) -> Iterator:
+    """Arrow batches cut to at most so many rows, and to at most so many bytes of a text column or else a single row."""
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        widths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        at = total = 0
+        for k, width in enumerate(widths):
+            if k > at and (k - at == rows or total + width > size):
+                yield batch.slice(at, k - at)
+                at, total = k, 0
+            total += width
+        if at < len(widths):
+            yield batch.slice(at)
+
+
+def offsets_of(lengths: list[int]):
+    """The Arrow offsets buffer of values with these lengths."""
+    import numpy as np
+    import pyarrow as pa
+
+    ends = np.zeros(len(lengths) + 1, np.int64)
+    np.cumsum(lengths, out=ends[1:])
+    if ends[-1] >= 1 << 31:
+        raise ValueError("a batch of texts over 2 GB")
+    return pa.py_buffer(ends.astype(np.int32))
+
+
+def int_lists(values: list[bytes]):
+    """A column of array<int> from int32 values as bytes."""
+    import pyarrow as pa
+
+    flat = pa.py_buffer(b"".join(values))
+    child = pa.Array.from_buffers(pa.int32(), flat.size // 4, [None, flat])
+    kind = pa.list_(pa.field("element", pa.int32(), False))
+    return pa.ListArray.from_buffers(kind, len(values), [None, offsets_of([len(v) // 4 for v in values])], children=[child])
+
+
+def byte_column(values: list[bytes], kind: str = "binary"):
+    """A column of binary, or of strings given in UTF-8; nothing is decoded."""
+    import pyarrow as pa
+
+    buffers = [None, offsets_of([len(v) for v in values]), pa.py_buffer(b"".join(values))]
+    return pa.Array.from_buffers(pa.string() if kind == "string" else pa.binary(), len(values), buffers)

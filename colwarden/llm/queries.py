@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, mixing, neardup, quality_bands, secret_ledger, sp_codec, toxicity, url_rules, warc
+from . import ann, bpe_codec, fill_in_middle, langid, lexical, mixing, neardup, quality_bands, secret_ledger, sp_codec, toxicity, url_rules, warc
 from .common import read, workspace
 
 
@@ -121,6 +121,53 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe_codec.encode(docs, ranks_path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    csv = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(csv.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents WHERE text IS NOT NULL),
+a AS (SELECT count(*)::BIGINT AS docs, sum(len(ts))::BIGINT AS terms FROM d WHERE len(ts) > 0),
+u AS (SELECT k, doc_id, len(ts)::BIGINT AS n, unnest(ts) AS term FROM d),
+p AS (SELECT k, doc_id, n, term, count(*)::BIGINT AS tf FROM u GROUP BY ALL),
+f AS (SELECT term, floor(1000 * ln((2 * a.docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, a GROUP BY term, a.docs),
+i AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+q AS (SELECT item_id, term, count(*)::BIGINT AS often FROM i GROUP BY ALL),
+s AS (SELECT item_id, k, doc_id, sum(often * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * a.docs) // a.terms))))::BIGINT AS score
+      FROM q JOIN f USING (term) JOIN p USING (term), a GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    again = fill_in_middle.restore(F.col("output"), F.col("form"))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select("doc_id", F.col("units").alias("n"), "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"), sha(again).alias("restored_sha256"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
+s AS (SELECT *, len(u)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS x, ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS y,
+      CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 100 THEN 'plain'
+           WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d),
+c AS (SELECT *, array_to_string(list_filter(u, lambda v, i: i <= least(x, y)), '') AS p, array_to_string(list_filter(u, lambda v, i: i > least(x, y) AND i <= greatest(x, y)), '') AS m,
+      array_to_string(list_filter(u, lambda v, i: i > greatest(x, y)), '') AS z FROM s)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || z || '<M>' || m ELSE '<S>' || z || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM c
+"""
+
+
 def default_model() -> str:
     import public_tokenizers
 
@@ -145,5 +192,5 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM d LEFT JOIN a ON d.doc_id = a.doc_id"""
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_url_rules, op3_quality_bands, op4_near_dedup, op5_source_mixing, op6_ann_search, op7_warc_normaliser, op8_sentencepiece, op9_secret_ledger, op10_language_id)}
-ORACLE_SQL = {"op4_near_dedup": OP4_SQL, "op2_url_rules": OP2_SQL, "op5_source_mixing": OP5_SQL, "op7_warc_normaliser": OP7_SQL, "op9_secret_ledger": _op9_sql()}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_url_rules, op3_quality_bands, op4_near_dedup, op5_source_mixing, op6_ann_search, op7_warc_normaliser, op8_sentencepiece, op9_secret_ledger, op10_language_id, op11_byte_bpe, op12_lexical_search, op13_fill_in_middle)}
+ORACLE_SQL = {"op4_near_dedup": OP4_SQL, "op2_url_rules": OP2_SQL, "op5_source_mixing": OP5_SQL, "op7_warc_normaliser": OP7_SQL, "op9_secret_ledger": _op9_sql(), "op12_lexical_search": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
