@@ -20,7 +20,7 @@ def codec():
 
 
 def ids(codec, text):
-    packed, decoded = codec.convert(text)
+    ((packed, decoded),) = codec.convert([text])
     assert decoded == text.encode()
     return memoryview(packed).cast("i").tolist()
 
