@@ -35,7 +35,7 @@ FIRST_CHAR = 0x100
 #: A character that no piece has.
 DIVIDER = chr(FIRST_CHAR + 256)
 #: Stands for the byte FF, which no UTF-8 has; and how many pre-tokens the library gets in a string.
-NO_UTF8, AT_ONCE = "\udcff", 1_000
+NO_UTF8, AT_ONCE = "\udcff", 50
 #: Fields and values of the serialised model: message fields by number, BPE as model type, UNKNOWN as piece type.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 BPE, UNKNOWN = 2, 2
