@@ -9,12 +9,15 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import GreaterThanOrEqual, In, LessThan
 
 from .functions import scalar
 from .operators import compare, report, slim, verify
 from .plans.contract import CONTRACT_FIELDS, EARLIER_CONTRACT_FIELDS, ETL_FIELDS, PROBED_FIELD, relation, values_sql
 from .sources.archive import archive_headers
+from .sources.archive_table import archive_files, entries_of, entry_rows, first_headers, read_pruned, write_archives
 from .sources.jobs import ExportJob, ExportRequest
+from .sources.storage import workspace
 from .streaming.landing import first_ends, within_limit
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -279,26 +282,58 @@ WHERE contains(field, 'solicitation') UNION ALL SELECT 6, 'all required fields a
 def export_run(spark, sf_dir):
     """The report of a whole run against the offline transport, from submit to verdict."""
     from .sources.landed import verify_export
-    from .sources.offline import OfflineTransport, landing_folder
+    from .sources.offline import OfflineTransport
 
     job = ExportJob("offline://awards", OfflineTransport())
-    return report.lines(verify_export(spark, job, ExportRequest.sample(date(2025, 9, 24)), landing_folder(spark)).summary)
+    return report.lines(verify_export(spark, job, ExportRequest.sample(date(2025, 9, 24)), workspace(spark, "landing")).summary)
 
 
 def pushdown_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of a bulk export by the offline transport, with the date bounds pushed into the request."""
-    from .sources.bulk_export import BulkExport
-    from .sources.offline import landing_folder
+    """Rows of a bulk export by the offline transport, with the date bounds in the request."""
+    from .sources.bulk_export import exported
 
-    from .shipping import ship
-
-    ship(spark)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(BulkExport)
-    rows = spark.read.format("bulk_export").option("endpoint", "offline://awards").option("transport", "colwarden.sources.offline:OfflineTransport").option("landing", landing_folder(spark)).option("as_of", "2025-09-24").option("columns", "award_id_piid,action_date,award_type,federal_action_obligation").load()
-    return rows.where((F.col("action_date") >= "2025-09-23") & (F.col("action_date") <= "2025-09-24")).select("award_id_piid", "action_date", "award_type", F.col("federal_action_obligation").try_cast("double").alias("obligation"))
+    day = ("action_date",)
+    rows = exported(spark, [GreaterThanOrEqual(day, "2025-09-23"), LessThan(day, "2025-09-25")], endpoint="offline://awards", transport="colwarden.sources.offline:OfflineTransport", landing=workspace(spark, "landing"), as_of="2025-09-24", columns="award_id_piid,action_date,award_type,federal_action_obligation")
+    return rows.select("award_id_piid", "action_date", "award_type", F.col("federal_action_obligation").try_cast("double").alias("obligation"))
 
 
 QUERIES["pushdown_source"] = pushdown_source
 ORACLE_SQL["pushdown_source"] = """SELECT 'AW' || lpad(i::VARCHAR, 4, '0') AS award_id_piid, strftime(DATE '2025-09-20' + (i % 7)::INT, '%Y-%m-%d') AS action_date,
 ['A', 'B', 'C', 'D'][(i % 4 + 1)::INT] AS award_type, (i * 10.25)::DOUBLE AS obligation FROM range(700) t(i) WHERE i % 7 BETWEEN 3 AND 4"""
+
+
+def orders_as_archives(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """The orders table, written as archives of many entries by date; and their folder."""
+    orders, folder = table(spark, sf_dir, "orders"), workspace(spark, "archives")
+    write_archives(orders.repartitionByRange("o_orderdate").sortWithinPartitions("o_orderdate"), folder, zones=("o_orderdate", "o_orderpriority", "o_orderkey"), rows_per_entry=2_000)
+    return orders, folder
+
+
+def retyped(rows: DataFrame, like: DataFrame) -> DataFrame:
+    return rows.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in like.schema])
+
+
+@query("SELECT * FROM orders")
+def archive_table_rows(spark, sf_dir):
+    """orders through archives: directories read by range, tasks planned by entry bytes, entries inflated from their ranges."""
+    orders, folder = orders_as_archives(spark, sf_dir)
+    return retyped(entry_rows(entries_of(archive_files(spark, folder)), orders.columns), orders)
+
+
+@query("SELECT row_number() OVER () - 1 AS pos, column_name AS field, true AS all_available FROM (DESCRIBE orders)")
+def archive_table_headers(spark, sf_dir):
+    """The names that the first entry of every archive has, and whether every archive has all names of the table."""
+    orders, folder = orders_as_archives(spark, sf_dir)
+    headers = first_headers(entries_of(archive_files(spark, folder)))
+    want = F.array(*map(F.lit, orders.columns))
+    names = headers.select(F.posexplode("fields").alias("pos", "field"), (F.size(F.array_except(want, "fields")) == 0).alias("all_available"))
+    return names.groupBy(F.col("pos").cast("long").alias("pos"), "field").agg(F.every("all_available").alias("all_available"))
+
+
+@query("SELECT * FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1997-06-01'")
+def archive_table_pruned(spark, sf_dir):
+    """A filter like that of sample_request_filter, applied to the manifest first, so that entries of other dates are never opened."""
+    orders, folder = orders_as_archives(spark, sf_dir)
+    day = ("o_orderdate",)
+    asked = [In(("o_orderpriority",), ("1-URGENT", "2-HIGH")), GreaterThanOrEqual(day, "1997-03-01"), LessThan(day, "1997-06-01")]
+    return retyped(read_pruned(spark, folder, orders.columns, asked), orders)

@@ -41,15 +41,23 @@ def open_folder(uri: str):
 
 def land(job: ExportJob, request: ExportRequest, landing: str) -> str:
     """Run the job; the path of its file in the landing folder. A file that isn't whole is removed."""
+    return land_once(job, request, landing, uuid.uuid4().hex)
+
+
+def land_once(job: ExportJob, request: ExportRequest, landing: str, run: str) -> str:
+    """land under the name of a run; if its file is there already, the job isn't submitted again. A file gets its name when it is whole."""
     from pyarrow import fs
 
     store, folder = open_folder(landing)
     store.create_dir(folder, recursive=True)
-    path = f"{folder}/export-{uuid.uuid4().hex}.zip"
-    if reason := job.fetch_to(request, lambda: store.open_output_stream(path, compression=None)):
-        if store.get_file_info(path).type != fs.FileType.NotFound:
-            store.delete_file(path)
+    path, part = f"{folder}/export-{run}.zip", f"{folder}/.export-{run}-{uuid.uuid4().hex}.part"
+    if store.get_file_info(path).type != fs.FileType.NotFound:
+        return path
+    if reason := job.fetch_to(request, lambda: store.open_output_stream(part, compression=None)):
+        if store.get_file_info(part).type != fs.FileType.NotFound:
+            store.delete_file(part)
         raise ExportFailed(reason)
+    store.move(part, path)
     return path
 
 

@@ -4,25 +4,15 @@ from __future__ import annotations
 
 import io
 import json
-import tempfile
 import zipfile
 from collections.abc import Iterator, Mapping
 from datetime import date, timedelta
 
-from pyspark.sql import SparkSession
-
 from ..plans.contract import CONTRACT_FIELDS
 
 FIRST_DAY, ROWS = date(2025, 9, 20), 700
 
 
-def landing_folder(spark: SparkSession) -> str:
-    """A folder under spark.checkpoint.dir, which driver and executors share; a temporary one where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    root = root or "file://" + tempfile.mkdtemp(prefix="colwarden-")
-    return f"{root.rstrip('/')}/landing"
-
-
 class OfflineTransport:
     """Keeps to the request: award types and both ends of the date range. Rows are dealt to `entries` CSV entries."""
 

@@ -16,7 +16,6 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.python.filterPushdown.enabled", "true")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -3,13 +3,14 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, GreaterThan, GreaterThanOrEqual, In, LessThan, LessThanOrEqual
 
 from colwarden.shipping import ship
-from colwarden.sources.bulk_export import BulkExport, BulkExportReader
+from colwarden.sources.bulk_export import BulkExport, exported, narrowed
 from colwarden.sources.jobs import AWARD_TYPES, ExportJob, ExportRequest
 from colwarden.sources.landed import ExportFailed, land, main, verify_export
 from colwarden.sources.offline import OfflineTransport
-from colwarden.plans.contract import CONTRACT_FIELDS, raw_schema
+from colwarden.plans.contract import CONTRACT_FIELDS
 from colwarden.queries import packed
 from colwarden.streaming.landing import first_ends, within_limit
 
@@ -95,27 +96,32 @@ def test_guards():
     assert job(Script({"status": "finished"}))[0].fetch(ExportRequest.sample()) == (b"PK", None)
 
 
-def test_pushed_range():
-    from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, LessThanOrEqual
-
-    reader = BulkExportReader(raw_schema(["action_date"]), {"as_of": "2025-09-24"})
-    filters = [GreaterThanOrEqual(("action_date",), "2025-09-23"), LessThanOrEqual(("action_date",), "2025-12-31"), LessThanOrEqual(("other",), "2000-01-01"), EqualTo(("award_type",), "A"), GreaterThanOrEqual(("action_date",), "soon")]
-    assert list(reader.pushFilters(filters)) == filters
-    assert (reader.start, reader.end) == (date(2025, 9, 23), date(2025, 9, 24))
+def test_narrowed_range():
+    day, span = ("action_date",), (date(2025, 9, 22), date(2025, 9, 24))
+    assert narrowed([], *span) == span
+    assert narrowed([GreaterThanOrEqual(day, "2025-09-23"), LessThanOrEqual(day, "2025-12-31"), LessThanOrEqual(("other",), "2000-01-01"), EqualTo(("award_type",), "A"), GreaterThanOrEqual(day, "soon")], *span) == (date(2025, 9, 23), date(2025, 9, 24))
+    assert narrowed([GreaterThan(day, "2025-09-22"), LessThan(day, "2025-09-24")], *span) == (date(2025, 9, 23),) * 2
+    assert narrowed([In(day, ("2025-09-24", "2025-09-23"))], *span) == (date(2025, 9, 23), date(2025, 9, 24))
+    assert narrowed([EqualTo(day, "2025-09-23")], *span) == (date(2025, 9, 23),) * 2
 
 
 def test_source(spark, tmp_path):
     ship(spark)
     spark.dataSource.register(BulkExport)
-    reader = lambda **o: spark.read.format("bulk_export").options(endpoint="x://y", transport="colwarden.sources.offline:OfflineTransport", landing=tmp_path.as_uri(), as_of="2025-09-24", **o).load()
+    options = lambda **o: {"endpoint": "x://y", "transport": "colwarden.sources.offline:OfflineTransport", "landing": tmp_path.as_uri(), "as_of": "2025-09-24"} | o
+    reader = lambda **o: spark.read.format("bulk_export").options(**options(**o)).load()
     df = reader()
     assert len(df.columns) == 54 and df.count() == 300  # three days of seven
-    several = reader(transport_options='{"entries": 3}')
-    assert several.rdd.getNumPartitions() == 3 and sorted(several.collect(), key=str) == sorted(df.collect(), key=str)
     one = df.where("action_date >= '2025-09-23' AND action_date <= '2025-09-23'")
     assert one.count() == 100 and one.select("transaction_description").distinct().first()[0] == 'line one\nline "two"'
+    assert one.union(df).count() == 400 and df.count() == 300
+    assert len(list(tmp_path.glob("export-*.zip"))) == len(list(tmp_path.iterdir())) == 1  # one job for all actions of a load
+    several = reader(transport_options='{"entries": 3}')
+    assert several.rdd.getNumPartitions() == 3 and sorted(several.collect(), key=str) == sorted(df.collect(), key=str)
     assert reader(columns="award_type,absent", award_types="A").distinct().collect() == [("A", None)]
     assert reader(start="2025-09-25", end="2025-09-24").count() == 0
+    asked = exported(spark, [EqualTo(("action_date",), "2025-09-23"), In(("award_type",), ("A", "B"))], **options())
+    assert asked.count() == 50 and exported(spark, [GreaterThan(("action_date",), "2025-09-24")], **options()).count() == 0
     with pytest.raises(Exception, match="waiting failed: timed out|submit failed"):
         reader(transport_options='{"broken": true}').count()
 
