@@ -19,6 +19,7 @@ from .sources.archive_table import archive_files, entries_of, entry_rows, first_
 from .sources.jobs import ExportJob, ExportRequest
 from .sources.storage import workspace
 from .streaming.landing import first_ends, within_limit
+from .streaming.poll_log import poll_ends, run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -337,3 +338,22 @@ def archive_table_pruned(spark, sf_dir):
     day = ("o_orderdate",)
     asked = [In(("o_orderpriority",), ("1-URGENT", "2-HIGH")), GreaterThanOrEqual(day, "1997-03-01"), LessThan(day, "1997-06-01")]
     return retyped(read_pruned(spark, folder, orders.columns, asked), orders)
+
+
+@query(f"""SELECT user_id, CASE WHEN ended_at IS NULL OR ended_at >= TIMESTAMP '2024-01-03 00:00:00' THEN 'timed out' ELSE state END AS state,
+CASE WHEN ended_at < TIMESTAMP '2024-01-03 00:00:00' THEN ended_at END AS ended_at FROM (
+SELECT user_id, coalesce(arg_min(state, (ts, event_id)) FILTER (WHERE state <> 'pending'), 'pending') AS state,
+min(ts) FILTER (WHERE state <> 'pending') AS ended_at FROM (SELECT *, {_REPLAY} AS state FROM events) GROUP BY user_id)""")
+def poll_stream(spark, sf_dir):
+    """events as a poll log that lands week by week and is followed as a stream, with a stop and a restart from its checkpoint."""
+    log = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.when(F.col("event_type") == "purchase", "finished").otherwise(F.col("event_type")).alias("status"))
+    landing, out, checkpoint = (workspace(spark, name) for name in ("polls", "ends", "progress"))
+    days = ("2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-02-01")
+    week = lambda a, b: log.where((F.col("ts") >= F.lit(a).cast("timestamp_ntz")) & (F.col("ts") < F.lit(b).cast("timestamp_ntz")))
+    for k in (0, 2):
+        for a, b in zip(days[k : k + 2], days[k + 1 : k + 3], strict=True):
+            week(a, b).write.mode("append").parquet(landing)
+        polls = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1_000).parquet(landing)
+        begun = F.lit("2024-01-01").cast("timestamp_ntz")
+        run_available(poll_ends(polls, "user_id", "ts", "event_id", "status", begun, 2880, "8 days"), out, checkpoint)
+    return spark.read.schema("user_id LONG, state STRING, ended_at TIMESTAMP_NTZ").parquet(out)
