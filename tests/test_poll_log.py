@@ -43,5 +43,7 @@ def test_state_goes_after_the_time_to_forget(spark, tmp_path):
     land(spark, folder, [("a", at(1), 1, "finished")])
     land(spark, folder, [("b", at(150), 2, "running")])
     assert follow(spark, folder, forget=30) == [("a", "finished", at(1)), ("b", "timed out", None)]
-    land(spark, folder, [("a", at(151), 3, "finished"), ("c", at(170), 4, "running")])
+    land(spark, folder, [("c", at(151), 3, "running")])
+    follow(spark, folder, forget=30)
+    land(spark, folder, [("a", at(152), 4, "finished"), ("c", at(170), 5, "running")])
     assert follow(spark, folder, forget=30).count(("a", "timed out", None)) == 1  # forgotten, so told again: keep it above the lateness
