@@ -19,8 +19,10 @@ Equal vectors are one class with the few smallest ids that a result can need, fo
 that a third of all rows hold costs what a single one does.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor do those of another
-length than most; equal scores go to the smaller id; a query with fewer candidates than k gets all; an id counts once;
-rows with a null id take no part; no query or no vector gives an empty result. Extra columns do not take part.
+length than most; equal scores go to the smaller id; a query with fewer candidates than k gets all; rows of one id and one
+vector count once; an id on several vectors is a row for each of them: as a query each is ranked on its own, told apart by
+`query_vector`, and as neighbours each has a rank of its own, also among those of its own id; rows with a null id take no
+part; no query or no vector gives an empty result. Extra columns do not take part.
 """
 
 from __future__ import annotations
@@ -247,7 +249,9 @@ def smallest_ids(rows: DataFrame, most: int) -> DataFrame:
 
 
 def search(vectors: DataFrame, is_query, how: Settings = Settings(), id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score) of the rows whose id satisfies is_query (a function of the id column), against all rows."""
+    """(query_id, rank, vec_id, score, query_vector) of the rows whose id satisfies is_query (a function of the id column),
+    against all rows. query_vector: a digest of the query's vector, which tells queries of one id apart.
+    """
     spark = vectors.sparkSession
     ship(spark)
     most = how.k + 1  # the query itself may be among them
@@ -255,7 +259,7 @@ def search(vectors: DataFrame, is_query, how: Settings = Settings(), id_col: str
     first = spill(rows.groupBy("class").agg(F.min("id").alias("id"), F.first("v").alias("v")), "classes")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     total, longest = first.agg(F.count(F.lit(1)), F.max(norm)).first()
-    schema = "query_id long, rank int, vec_id long, score double"
+    schema = "query_id long, rank int, vec_id long, score double, query_vector string"
     if not total:
         return spark.createDataFrame([], schema)
     import numpy as np
@@ -278,7 +282,7 @@ def search(vectors: DataFrame, is_query, how: Settings = Settings(), id_col: str
             for k in range(0, batch.num_rows, 1024):
                 part = batch.slice(k, 1024)
                 row, at = index.value.lists_of(matrix(part.column(1)))
-                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(c.take(pa.array(row)) for c in part.columns)], names=["list", "id", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(c.take(pa.array(row)) for c in part.columns)], names=["list", "id", "v", "x", "y"])
 
     def visit(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -287,26 +291,26 @@ def search(vectors: DataFrame, is_query, how: Settings = Settings(), id_col: str
             q = index.value.lifted(matrix(batch.column(1)), query=True)
             probes = [index.value.probe(x) for x in q]
             row = np.repeat(np.arange(len(q)), [len(p) for p in probes])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*map(np.asarray, probes), []]).astype(np.int32)), *(c.take(pa.array(row)) for c in batch.columns)], names=["list", "id", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*map(np.asarray, probes), []]).astype(np.int32)), *(c.take(pa.array(row)) for c in batch.columns)], names=["list", "id", "v", "x", "y"])
 
-    member = f"list int, id long, v {rows.schema['v'].dataType.simpleString()}"
-    posted = spill(first.select("id", "v").mapInArrow(assign, member), "postings")
+    member = f"list int, id long, v {rows.schema['v'].dataType.simpleString()}, x long, y long"
+    posted = spill(first.select("id", "v", "class.x", "class.y").mapInArrow(assign, member), "postings")
     asked = rows.where(is_query(F.col("id"))).select("class", F.col("id").alias("query_id")).distinct()
-    asking = spill(first.join(asked.select("class").distinct(), "class", "left_semi").select("id", "v").mapInArrow(visit, member), "visits")
+    asking = spill(first.join(asked.select("class").distinct(), "class", "left_semi").select("id", "v", "class.x", "class.y").mapInArrow(visit, member), "visits")
     chunks = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / how.chunk).cast("int").alias("chunks"))
     blocks = asking.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / how.block).cast("int").alias("blocks"))
     sizes = spill(chunks.join(blocks, "list"), "sizes")  # a row for each list
     sizes = F.broadcast(sizes)
-    spread = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    left = posted.join(sizes, "list").select("list", spread("chunks").alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("asks"), "id", "v")
-    right = asking.join(sizes, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), spread("blocks").alias("block"), F.lit(True).alias("asks"), "id", "v")
+    spread = lambda n: F.pmod("x", F.col(n)).cast("int")
+    left = posted.join(sizes, "list").select("list", spread("chunks").alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("asks"), "id", "v", "x", "y")
+    right = asking.join(sizes, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), spread("blocks").alias("block"), F.lit(True).alias("asks"), "id", "v", "x", "y")
 
     def nearest(table):
         import pyarrow as pa
 
         asks = table.column("asks").to_numpy()
-        ids, x = table.column("id").to_numpy(), matrix(table.column("v")).astype(np.float64)
-        q, qid, p, pid = x[asks], ids[asks], x[~asks], ids[~asks]
+        keys, v = np.stack([table.column(c).to_numpy() for c in ("id", "x", "y")]), matrix(table.column("v")).astype(np.float64)
+        q, asked, p, found = v[asks], keys[:, asks], v[~asks], keys[:, ~asks]
         out = []
         if len(q) and len(p):
             rough = q @ p.T
@@ -316,23 +320,29 @@ def search(vectors: DataFrame, is_query, how: Settings = Settings(), id_col: str
             for i in range(len(q)):
                 at = np.flatnonzero(rough[i] >= cut[i])
                 exact = (p[at] * q[i]).sum(axis=1)  # the same bits in whatever block
-                order = np.lexsort((pid[at], -exact))[:most]
-                out.append((qid[i], pid[at][order], exact[order]))
+                order = np.lexsort((*found[::-1, at], -exact))[:most]
+                out.append((asked[1:, i], found[:, at[order]], exact[order]))
         salt = (int(table.column("list")[0].as_py()) + 31 * int(table.column("chunk")[0].as_py())) % SALTS if table.num_rows else 0
-        return pa.table({"asked": pa.array([x[0] for x in out], pa.int64()), "salt": pa.array([salt] * len(out), pa.int32()), "ids": pa.array([x[1] for x in out], pa.list_(pa.int64())), "scores": pa.array([x[2] for x in out], pa.list_(pa.float64()))})
-
-    parts = left.unionByName(right).groupBy("list", "chunk", "block").applyInArrow(nearest, "asked long, salt int, ids array<long>, scores array<double>")
-    pairs = F.zip_with("ids", "scores", lambda i, s: F.struct((-s).alias("low"), i.alias("id")))
+        whole, longs = pa.int64(), pa.list_(pa.int64())
+        columns = {"x": pa.array([a[0] for a, _, _ in out], whole), "y": pa.array([a[1] for a, _, _ in out], whole), "salt": pa.array([salt] * len(out), pa.int32())}
+        columns |= {name: pa.array([f[k] for _, f, _ in out], longs) for k, name in enumerate(("ids", "xs", "ys"))}
+        return pa.table(columns | {"lows": pa.array([-s for _, _, s in out], pa.list_(pa.float64()))})
+
+    parts = left.unionByName(right).groupBy("list", "chunk", "block").applyInArrow(nearest, "x long, y long, salt int, ids array<long>, xs array<long>, ys array<long>, lows array<double>")
+    parts = parts.withColumn("asked", F.struct("x", "y"))
+    pairs = F.transform(F.arrays_zip("lows", "ids", "xs", "ys"), lambda e: F.struct(e["lows"].alias("low"), e["ids"].alias("id"), e["xs"].alias("x"), e["ys"].alias("y")))
     # a vector is in so many lists at most: what is cut after sorting holds enough distinct ones, and is short
     near = F.slice(F.array_sort(F.flatten(F.collect_list(pairs))), 1, most * how.copies)
     # in two steps, so that no row gathers all parts of a query at once
     some_of = parts.groupBy("asked", "salt").agg(F.slice(F.array_distinct(near), 1, most).alias("best"))
     best = some_of.groupBy("asked").agg(F.slice(F.array_distinct(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, most * how.copies)), 1, most).alias("best"))
     # from classes back to ids: those of the nearest classes, of which each has one at least
-    some = smallest_ids(rows.select("class", "id"), most).join(first.select("class", F.col("id").alias("head")), "class").select("head", "ids")
-    each = best.select("asked", F.explode("best").alias("b")).select("asked", "b.low", F.col("b.id").alias("head")).join(some, "head", "left")
-    each = each.select("asked", F.transform(F.coalesce("ids", F.array("head")), lambda i: F.struct(F.col("low").alias("low"), i.alias("id"))).alias("x"))
+    some = smallest_ids(rows.select("class", "id"), most)
+    each = best.select("asked", F.explode("best").alias("b")).select("asked", "b.low", F.col("b.id").alias("head"), F.struct("b.x", "b.y").alias("class")).join(some, "class", "left")
+    each = each.select("asked", F.transform(F.coalesce("ids", F.array("head")), lambda i: F.struct(F.col("low").alias("low"), i.alias("id"), F.col("class").alias("class"))).alias("x"))
     merged = each.groupBy("asked").agg(F.slice(F.array_sort(F.flatten(F.collect_list("x"))), 1, most).alias("x"))
-    named = merged.join(first.select("class", F.col("id").alias("asked")), "asked").select("class", "x")
-    result = asked.join(spill(named, "named"), "class").select("query_id", F.slice(F.filter("x", lambda s: s["id"] != F.col("query_id")), 1, how.k).alias("x"))
-    return result.select("query_id", F.posexplode("x").alias("at", "s")).select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("s.id").alias("vec_id"), (-F.col("s.low")).alias("score"))
+    result = asked.join(spill(merged, "named").withColumnRenamed("asked", "class"), "class")
+    own = lambda s: (s["id"] == F.col("query_id")) & (s["class"] == F.col("class"))
+    result = result.select("query_id", "class", F.slice(F.filter("x", lambda s: ~own(s)), 1, how.k).alias("x"))
+    digest = F.concat(F.lpad(F.lower(F.hex("class.x")), 16, "0"), F.lpad(F.lower(F.hex("class.y")), 16, "0")).alias("query_vector")
+    return result.select("query_id", digest, F.posexplode("x").alias("at", "s")).select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("s.id").alias("vec_id"), (-F.col("s.low")).alias("score"), "query_vector")

@@ -111,3 +111,26 @@ def test_double_vectors_keep_their_precision(spark):
     rows = [(0, [1.0, 0.0]), (20, [1.0, 1e-12]), (1, [1.0 + 1e-12, 0.0]), (2, [1.0 + 2e-12, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert results(ann.search(df, lambda i: i == 0)) == {0: [(2, 1.0 + 2e-12), (1, 1.0 + 1e-12), (20, 1.0)]}
+
+
+def test_ids_on_several_vectors_and_vectors_of_several_ids(spark):
+    rng = np.random.default_rng(9)
+    kinds = [[float(x) for x in rng.integers(-3, 4, 3)] for _ in range(25)]
+    rows = {(int(i), tuple(kinds[k])) for i, k in zip(rng.integers(0, 60, 400), rng.integers(0, 25, 400), strict=True) if any(kinds[k])}
+    rows |= {(20, (0.7, 0.0, 0.0)), (20, (0.1, 0.9, 0.0)), (0, (0.7, 0.0, 0.0))}
+    want = []
+    for i, v in rows:
+        if i % 20 == 0:
+            near = sorted((-float(np.dot(v, w)), j, w) for j, w in rows if (j, w) != (i, v))[:20]
+            want.append((i, [(rank, j, -low) for rank, (low, j, _) in enumerate(near, 1)]))
+    for how in (ann.Settings(), ann.Settings(per_list=5, chunk=16, block=4)):
+        found = ann.search(frame(spark, [*rows, *list(rows)[:50]]), lambda i: i % 20 == 0, how).collect()
+        got = {}
+        for r in found:
+            got.setdefault((r["query_id"], r["query_vector"]), []).append((r["rank"], r["vec_id"], round(r["score"], 6)))
+        assert len(found) == len({(r["query_id"], r["query_vector"], r["rank"]) for r in found})
+        ranked = sorted((i, sorted(x)) for (i, _), x in got.items())
+        if how == ann.Settings():  # one list: exact
+            assert ranked == sorted((i, [(r, j, round(s, 6)) for r, j, s in x]) for i, x in want)
+        else:
+            assert len(ranked) == len(want)
