@@ -5,8 +5,9 @@ other), targets follow from weights and a cap, and every document is taken floor
 seeded draw falls under the fraction of the rate. No document sees another, so the second pass is a map.
 
 Defined results: a null text has size 0; null is a source of its own, last in order; a source of size 0 has target 0 and
-rate 0; rows with the same id share a draw, so a repeated row gets the same number of copies as its twin; an empty table
-gives an empty result. Columns of the input whose names clash with new ones keep theirs, as inner names are made fresh.
+rate 0; very long texts count whole; rows with the same id and text share a draw, so a repeated row gets the same number of
+copies as its twin, and rows of one id or of none with different texts are drawn each on their own; equal source sizes are
+told apart by name; an empty table gives an empty result. Columns of the input whose names clash with new ones keep theirs, as inner names are made fresh.
 """
 
 from __future__ import annotations
@@ -22,9 +23,10 @@ from .common import fresh, n_words, spill
 BROADCAST_SOURCES = 50_000
 
 
-def draw(id_col: Column, seed: str) -> Column:
-    """In [0, 1), by 52 bits of an MD5 of seed and id: the same on every run, engine and partitioning."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit("null"))).cast("binary"))
+def draw(id_col: Column, text_col: Column, seed: str) -> Column:
+    """In [0, 1), by 52 bits of an MD5 of seed, id and the text's MD5: the same on every run, engine and partitioning."""
+    own = F.coalesce(F.md5(text_col.cast("binary")), F.lit("null"))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit("null")), F.lit(":"), own).cast("binary"))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(16**13))
 
 
@@ -63,7 +65,7 @@ def repetitions(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
         rates = F.broadcast(rates)
     joined = sized.join(rates, sized[source_col].eqNullSafe(rates[key]))
     rate = F.when(F.col(ss) > 0, F.col(t) / F.col(ss)).otherwise(F.lit(0.0))
-    n = F.floor(rate) + (draw(F.col(id_col), seed) < rate - F.floor(rate)).cast("long")
+    n = F.floor(rate) + (draw(F.col(id_col), F.col(text_col), seed) < rate - F.floor(rate)).cast("long")
     return joined.withColumn(copies, n).drop(key), dict(zip(("size", "source_size", "target", "copies"), names, strict=True))
 
 

@@ -62,7 +62,7 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.
 
 
 OP5_SQL = r"""
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+WITH d AS (SELECT doc_id, source, coalesce(md5(text), 'null') AS own, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 r AS (SELECT source, source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) AS pos, source_size * 2.0::DOUBLE AS bound FROM s),
 w AS (SELECT *, CASE (pos - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM r),
@@ -71,7 +71,7 @@ l AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(bound) OV
 f AS (SELECT arg_min(level, (bound / weight, pos)) AS level FROM l WHERE bound >= level * weight),
 t AS (SELECT source, source_size, least(bound, coalesce(f.level * weight, bound)) AS target FROM l, f),
 c AS (SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate,
-      ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+      ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || d.own), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 n AS (SELECT *, floor(rate)::BIGINT + (u < rate - floor(rate))::BIGINT AS copies FROM c)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM n

@@ -33,8 +33,9 @@ def targets(sizes, weights=(5, 2, 1), share=1.5, cap=2.0):
     return out
 
 
-def draw(ident, seed="mix"):
-    return int(hashlib.md5(f"{seed}:{'null' if ident is None else ident}".encode()).hexdigest()[:13], 16) / 16**13
+def draw(ident, text, seed="mix"):
+    own = "null" if text is None else hashlib.md5(text.encode()).hexdigest()
+    return int(hashlib.md5(f"{seed}:{'null' if ident is None else ident}:{own}".encode()).hexdigest()[:13], 16) / 16**13
 
 
 def check(spark, rows):
@@ -47,7 +48,7 @@ def check(spark, rows):
     want, goal = [], targets(sizes)
     for i, t, s in rows:
         rate = goal[s] / sizes[s] if sizes[s] else 0
-        want.append((i, s, words(t), sizes[s], goal[s], int(rate) + (draw(i) < rate % 1)))
+        want.append((i, s, words(t), sizes[s], goal[s], int(rate) + (draw(i, t) < rate % 1)))
     assert len(got) == len(want)
     for g, w in zip(sorted(got, key=str), sorted(want, key=str), strict=True):
         assert g[:4] == w[:4] and g[5] == w[5] and g[4] == pytest.approx(w[4])
@@ -92,3 +93,11 @@ def test_sources_come_near_their_targets(spark):
     taken, names = mixing.repetitions(docs)
     per = taken.groupBy("source").agg(F.sum(F.col(names["copies"]) * F.col(names["size"])).alias("got"), F.first(names["target"]).alias("target")).collect()
     assert all(abs(r["got"] / r["target"] - 1) < 0.1 for r in per)
+
+
+def test_rows_of_one_id_or_of_none_are_drawn_each_on_their_own(spark):
+    """One source whose rows all have a null id, another whose rows all have one id: both come near their targets."""
+    rows = [(None, f"w{k} " * 10, "a", "x", 1) for k in range(2_000)] + [(7, f"v{k} " * 10, "b", "x", 1) for k in range(2_000)]
+    taken, names = mixing.repetitions(spark.createDataFrame(rows, SCHEMA))
+    per = taken.groupBy("source").agg(F.sum(F.col(names["copies"]) * F.col(names["size"])).alias("got"), F.first(names["target"]).alias("target")).collect()
+    assert len(per) == 2 and all(abs(r["got"] / r["target"] - 1) < 0.05 for r in per)
