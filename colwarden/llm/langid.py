@@ -8,10 +8,12 @@ regression per language against the rest is solved in closed form. As the kernel
 landmarks, the inverse root and the weights fold into one matrix of slots by languages, so that scoring is one product of
 a batch of presence vectors with that matrix, and costs the same for any number of landmarks.
 
-Sampling: rows are counted per language (partial sums), and a row is drawn if a hash of its id falls under quota / count.
-The quota is per_language, or most_rows over the number of languages where that is less; at most 1.5 times the quota is used of
-each language, so the fit holds 1.5 times most_rows rows at most, whatever the size of the corpus. No language is left out;
-more than most_languages distinct ones raise an error. Everything else covers all rows.
+Sampling: the different rows (id and text) of each language are counted by a sketch, and a row is drawn if a hash of its id
+and text falls under quota / count, so an id on many rows is drawn no more than others; rows of one id and text count once.
+The quota is per_language, or most_rows over the number of languages where that is less. Of each language at most 1.5 times
+the quota is taken, and of these at most most_bytes of slots in all languages, so what the driver gets is bounded in rows
+and in bytes, whatever the corpus. No language is left out; more than most_languages distinct ones raise an error.
+Everything else covers all rows.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0; without any training row all are ``und``;
 a null id is never a training row and not held out; very long texts are read
@@ -26,7 +28,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
@@ -40,6 +42,8 @@ class Settings:
     slots: int = 1 << 15
     per_language: int = 600
     most_rows: int = 20_000
+    #: Of slots that the driver gets, 4 each.
+    most_bytes: int = 128 << 20
     most_languages: int = 512
     landmarks: int = 512
     ridge: float = 1e-2
@@ -153,15 +157,16 @@ def fit(docs: DataFrame, how: Settings = Settings(), id_col: str = "doc_id", tex
     """Fit on a bounded sample of the rows outside fold 1 that have a language."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    rows = rows.where((fold_of("id") != 1) & F.col("lang").isNotNull())  # counted without reading a text
-    counted = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(how.most_languages + 1).collect()
+    rows = rows.where((fold_of("id") != 1) & F.col("lang").isNotNull())
+    key = F.xxhash64("id", "text")
+    counted = rows.groupBy("lang").agg(F.approx_count_distinct(key, 0.02).alias("n")).limit(how.most_languages + 1).collect()
     if len(counted) > how.most_languages:
         raise ValueError(f"more than {how.most_languages} languages; raise most_languages")
     quota = min(how.per_language, max(1, how.most_rows // max(1, len(counted))))
-    spread = F.pmod(F.xxhash64("id", F.lit(how.seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    spread = F.pmod(F.xxhash64(key, F.lit(how.seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     rate = F.lit(0.0)
     for lang, n in sorted(map(tuple, counted)):
-        rate = F.when(F.col("lang") == lang, F.lit(quota * 1.2 / n)).otherwise(rate)
+        rate = F.when(F.col("lang") == lang, F.lit(quota * 1.2 / max(1, n))).otherwise(rate)
 
     def work(batches: Iterator) -> Iterator:
         import numpy as np
@@ -173,15 +178,17 @@ def fit(docs: DataFrame, how: Settings = Settings(), id_col: str = "doc_id", tex
 
     # slots, not texts, go to the driver: no row has more than how.slots of them
     drawn = rows.where(F.col("text").isNotNull()).withColumn("spread", spread).where(F.col("spread") < rate).select("lang", "spread", "text")
-    got = sorted(tuple(r) for r in drawn.mapInArrow(work, "lang string, spread double, slots binary").collect() if r["slots"])
+    different = drawn.mapInArrow(work, "lang string, spread double, slots binary").where(F.length("slots") > 0).dropDuplicates(["lang", "spread"])
+    order = Window.partitionBy("lang").orderBy("spread")
+    ranked = different.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= int(1.5 * quota))
+    weighed = ranked.withColumn("bytes", F.sum(F.length("slots")).over(order))
+    # the first row of a language stays, however long
+    most = how.most_bytes // max(1, len(counted))
+    got = weighed.where((F.col("bytes") <= most) | (F.col("nth") == 1)).select("lang", "spread", "slots").collect()
     import numpy as np
 
-    kept, seen = [], {}
-    for lang, _, slots in got:
-        seen[lang] = seen.get(lang, 0) + 1
-        if seen[lang] <= 1.5 * quota:
-            kept.append((np.frombuffer(slots, np.uint32), lang))
-    return train([x for x, _ in kept], [y for _, y in kept], how)
+    kept = sorted((r["lang"], r["spread"], bytes(r["slots"])) for r in got)
+    return train([np.frombuffer(x, np.uint32) for _, _, x in kept], [y for y, _, _ in kept], how)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -62,9 +62,20 @@ def test_rows_of_a_fit_are_bounded_and_languages_counted(spark):
     rows = [(k, text(y, k), y) for j, y in enumerate(WORDS) for k in range(j * 400, j * 400 + 400)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     seen = []
-    inner, langid.train = langid.train, lambda found, labels, how: seen.extend(labels) or inner(found, labels, how)
+    sizes = []
+    inner, langid.train = langid.train, lambda found, labels, how: seen.extend(labels) or sizes.extend(map(len, found)) or inner(found, labels, how)
     try:
         model = langid.fit(df, langid.Settings(most_rows=60))
+        # an id on many rows, with texts of its own or one text, is drawn like any other row
+        hot = [(7, text("aa", k), "aa") for k in range(5_000)] + [(8, "zz", "bb")] * 5_000
+        first = list(seen)
+        del seen[:]
+        langid.fit(spark.createDataFrame([*rows, *hot], df.schema).repartition(5), langid.Settings(per_language=50))
+        assert len(seen) <= 75 * 3 and all(20 <= seen.count(y) <= 75 for y in WORDS)
+        del seen[:], sizes[:]
+        langid.fit(df, langid.Settings(most_bytes=3 * 4 * 3_000))
+        assert sum(sizes) <= 3 * 3_000 and set(seen) == set(WORDS)
+        seen[:] = first
     finally:
         langid.train = inner
     assert model.languages == sorted(WORDS) and len(seen) <= 90 and all(seen.count(y) <= 30 for y in WORDS)
