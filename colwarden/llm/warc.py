@@ -15,7 +15,8 @@ Files that are written here hold a bounded number of records, so a file's decisi
 Defined results: a null page is an empty payload; a null url is written as ``about:blank``; of rows with equal payloads the
 largest id is the response, of rows with equal ids too just one; a null id is smaller than any, as is a record id that is
 not of this writer; a revisit of a null id has a null refers_to. Revisits that an archive brings along stay. An empty table
-writes no file. Very long pages are held whole, one at a time for each task. Extra columns do not take part.
+writes no file. Archives that break off, are damaged or hold a head without a length keep their whole records before that
+place, and normalise tells the reason; of damaged gzip the piece of up to 1 MB of text in which the damage shows goes, too. Very long pages are held whole, one at a time for each task. Extra columns do not take part.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,19 +67,25 @@ def whole(head: bytes, block: bytes) -> bytes:
 
 
 def revisit_of(head: bytes, block: bytes, refers_to: str) -> bytes:
-    """The record as a revisit: without its payload, all else of it kept but what tells type, length and block digest."""
-    http, end, _ = block.partition(b"\r\n\r\n")
+    """The record as a revisit: without its payload, all else of it kept but what tells type, length and digests.
+
+    The payload digest, by which the profile identifies what is revisited, is that of the payload that goes; where the record
+    had none the line is new.
+    """
+    http, end, payload = block.partition(b"\r\n\r\n")
     block = http + end
-    new = {b"warc-type": b"revisit", b"content-length": str(len(block)).encode(), b"warc-block-digest": b"sha1:" + digest(block).encode()}
-    lines, turned = [], False
+    new = {b"warc-type": b"revisit", b"content-length": str(len(block)).encode(), b"warc-block-digest": b"sha1:" + digest(block).encode(), b"warc-payload-digest": b"sha1:" + digest(payload).encode()}
+    lines, turned, told = [], False, False
     for line in head.split(b"\r\n"):
         name, _, _ = line.partition(b":")
         folded = line[:1] in (b" ", b"\t")  # belongs to the line before
-        if not folded and (turned := name.strip().lower() in new):
-            line = name + b": " + new[name.strip().lower()]
+        if not folded and (turned := (kind := name.strip().lower()) in new):
+            line, told = name + b": " + new[kind], told or kind == b"warc-payload-digest"
         elif folded and turned:
             continue
         lines.append(line)
+    if not told:
+        lines.append(b"WARC-Payload-Digest: " + new[b"warc-payload-digest"])
     return whole(b"\r\n".join([*lines, f"WARC-Profile: {PROFILE}".encode(), f"WARC-Refers-To: {refers_to}".encode()]), block)
 
 
@@ -94,7 +102,11 @@ def head_of(raw: bytes) -> dict[str, str]:
     return fields
 
 
-class Truncated(ValueError):
+class Broken(ValueError):
+    """The archive can't be read on from here."""
+
+
+class Truncated(Broken):
     """The archive ends inside a record or a gzip member."""
 
 
@@ -107,7 +119,10 @@ def inflate(chunks: Iterator[bytes]) -> Iterator[bytes]:
             if not open_member and not (chunk := chunk.lstrip(b"\0")):
                 break
             open_member = True
-            text = engine.decompress(chunk, most)
+            try:
+                text = engine.decompress(chunk, most)
+            except zlib.error as e:
+                raise Broken(f"no gzip: {e}") from e
             full = len(text) == most
             if text:
                 yield text
@@ -145,7 +160,10 @@ def records_of(pieces: Iterator[bytes]) -> Iterator[tuple[bytes, bytes]]:
             if not fill(looked + 1):
                 raise Truncated("record head is not complete")
         head = bytes(held[:end])
-        size = int(head_of(head)["content-length"])
+        told = head_of(head).get("content-length", "")
+        if not head.startswith(b"WARC/") or not re.fullmatch("[0-9]+", told):
+            raise Broken("record head without version or length")
+        size = int(told)
         if not fill(end + 4 + size):
             raise Truncated("record block is not complete")
         yield head, bytes(held[end + 4 : end + 4 + size])
@@ -249,30 +267,43 @@ def packed(raw: bytes, level: int) -> bytes:
 def normalise(files: DataFrame, source: str, target: str, level: int = 4) -> DataFrame:
     """Rewrite every file of the folder source that files names, with a member per record, to the folder target.
 
-    (file, seq, id, page_id, digest) for each record, by the new file's name; digest is null for all but HTTP responses.
+    (file, seq, id, page_id, digest, reason) for each record, by the new file's name; digest is null for all but HTTP responses.
+    A file that breaks off or is damaged keeps the whole records before that place; one more row, without seq, has the reason.
     """
     ship(files.sparkSession)
-    schema = "file string, seq int, id string, page_id long, digest string"
+    schema = "file string, seq int, id string, page_id long, digest string, reason string"
+
+    def records(stream, out: Members, name: str) -> Iterator[tuple]:
+        try:
+            for seq, (head, block) in enumerate(records_of(inflate(chunks_of(stream)))):
+                fields = head_of(head)
+                kind, ident = fields.get("warc-type"), fields.get("warc-record-id")
+                told = digest(payload_of(block)[1]) if kind == "response" and block.startswith(b"HTTP/") and ident else None
+                out.add(packed(whole(head, block), level), ident, kind, told)
+                yield name, seq, ident, page_id_of(ident), told, None
+        except Broken as e:
+            yield name, None, None, None, None, str(e)
 
     def work(batches: Iterator) -> Iterator:
         store, path = storage(source)
         target_store, target_path = storage(target)
         for batch in batches:
             for file in batch.column(0).to_pylist():
-                name, rows = f"norm-{uuid.uuid4().hex}.warc.gz", []
+                name = f"norm-{uuid.uuid4().hex}.warc.gz"
                 with store.open_input_stream(f"{path}/{file}", compression=None) as stream, Members(target_store, f"{target_path}/{name}") as out:
-                    for seq, (head, block) in enumerate(records_of(inflate(chunks_of(stream)))):
-                        fields = head_of(head)
-                        kind, ident = fields.get("warc-type"), fields.get("warc-record-id")
-                        told = digest(payload_of(block)[1]) if kind == "response" and block.startswith(b"HTTP/") and ident else None
-                        out.add(packed(whole(head, block), level), ident, kind, told)
-                        rows.append((name, seq, ident, page_id_of(ident), told))
-                for at in range(0, len(rows), 2048):
-                    yield rows_as(schema, rows[at : at + 2048])
+                    # rows leave as they come: those of an attempt that fails count for nothing
+                    found = records(stream, out, name)
+                    while rows := list(islice(found, 2048)):
+                        yield rows_as(schema, [(*r[:5], f"{file}: {r[5]}" if r[5] else None) for r in rows])
 
     return files.select("file").mapInArrow(work, schema)
 
 
+def broken(index: DataFrame) -> DataFrame:
+    """(file, reason) for the files of normalise's result that were not read to their end."""
+    return index.where("reason IS NOT NULL").select("file", "reason")
+
+
 def revisits(index: DataFrame) -> DataFrame:
     """(file, again) for every file of index: which of its records repeat another's payload, and whose, as (seq, id)."""
     told = index.where("digest IS NOT NULL")

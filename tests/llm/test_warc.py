@@ -96,6 +96,7 @@ def test_records_of_other_writers_stay_as_they_are(spark, tmp_path):
     assert block == missing[: missing.index(b"\r\n\r\n") + 4] and fields["warc-type"] == "revisit" and fields["warc-refers-to"] == other
     rows = warc.read_members(made, (tmp_path / "out").as_uri()).collect()
     assert sorted(r["record_type"] for r in rows) == ["response"] * 4 + ["revisit"] * 2 and all(r["page_id"] is None for r in rows)
+    assert warc.digest(missing[missing.index(b"\r\n\r\n") + 4 :]) in {r["payload_digest"] for r in rows if r["record_type"] == "revisit"}
     assert not list((tmp_path / "out").glob("between*"))
 
 
@@ -107,10 +108,30 @@ def test_a_revisit_keeps_the_other_header_lines():
     assert kept == b"HTTP/1.1 404 Not Found\r\nServer: x\r\n\r\n"
     fields = warc.head_of(head)
     assert fields.pop("warc-profile") == warc.PROFILE
-    assert fields == {"warc-type": "revisit", "warc-record-id": "<urn:uuid:3>", "warc-ip-address": "10.0.0.1", "warc-block-digest": f"sha1:{warc.digest(kept)}", "x-own": "a b", "content-length": str(len(kept)), "warc-refers-to": "<urn:uuid:8>"}
+    assert fields == {"warc-type": "revisit", "warc-record-id": "<urn:uuid:3>", "warc-ip-address": "10.0.0.1", "warc-block-digest": f"sha1:{warc.digest(kept)}", "x-own": "a b", "warc-payload-digest": f"sha1:{warc.digest(b'gone')}", "content-length": str(len(kept)), "warc-refers-to": "<urn:uuid:8>"}
 
 
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = [(r[0], r[1] or "") for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html").collect()]
     assert sorted(str(tuple(r)) for r in op7_warc_normaliser(spark, sf).collect()) == brute(rows)
+
+
+def test_broken_archives_keep_their_whole_records(spark, tmp_path):
+    record = lambda k, body: foreign("response", k, b"HTTP/1.1 200 OK\r\n\r\n" + body)
+    raw = [record(k, bytes([65 + k]) * 3_000) for k in range(6)]
+    packed = gzip.compress(b"".join(raw[:3]))
+    headless = b"WARC/1.0\r\nWARC-Type: response\r\n\r\nx\r\n\r\n"
+    made = {"whole.gz": gzip.compress(b"".join([raw[0], *raw[3:5]])), "cut.gz": gzip.compress(b"".join(raw[:3]), 0)[:-3_100], "no_length.gz": gzip.compress(raw[5] + headless + raw[0]), "text.gz": b"no archive", "flipped.gz": packed[:-6] + b"......", "empty.gz": b""}
+    (tmp_path / "in").mkdir()
+    for name, content in made.items():
+        (tmp_path / "in" / name).write_bytes(content)
+    files = spark.createDataFrame([(n,) for n in made], "file string")
+    index = warc.normalise(files, (tmp_path / "in").as_uri(), (tmp_path / "between").as_uri()).collect()
+    reasons = {r["reason"].split(":")[0]: r["reason"] for r in index if r["reason"]}
+    assert set(reasons) == {"cut.gz", "no_length.gz", "text.gz", "flipped.gz"} and "length" in reasons["no_length.gz"]
+    kept = sorted(r["id"] for r in index if r["id"])
+    assert kept == sorted(f"<urn:uuid:{k}>" for k in (0, 1, 0, 3, 4, 5))
+    out = warc.rewrite(files, (tmp_path / "in").as_uri(), (tmp_path / "out").as_uri())
+    rows = warc.read_members(out, (tmp_path / "out").as_uri()).collect()
+    assert sorted(r["record_type"] for r in rows) == ["response"] * 5 + ["revisit"] and None not in {r["payload_digest"] for r in rows}
