@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import suppress
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,6 +77,16 @@ def spill(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """spill(make()); tables and folders that were made on the way are removed as soon as the result is whole."""
+    before = len(_folders)
+    out = spill(make(), name)
+    for path in _folders[before:-1]:
+        remove(out.sparkSession, path)
+    del _folders[before:-1]
+    return out
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names like these that df has no column of, whatever the case."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -1,6 +1,7 @@
 """Near-duplicate documents by minhash with tensored banding, verified on whole shingle sets.
 
-1. Every text becomes its set of word shingles; equal sets are one class, named by a digest of the set.
+1. Every text becomes its set of word shingles; sets of one digest of 128 bits are one class. A class goes by the first half
+   of it, a long; where two classes share that, they get new names, so that no two have one.
 2. A class has two collections of short minhash tuples, and a table key is a pair of one tuple of each: c * c tables cost
    2 * c tuples. At similarity 0.8 a pair misses all tables with probability 2 * (1 - 0.8 ** width) ** c, 7e-5 here. A
    tuple that no other class has can be in no shared key, so only pairs of shared tuples are formed.
@@ -18,7 +19,8 @@ size is bounded by blocks, and they spread over tasks.
 
 Defined results: null texts and texts without a word have an empty set and are linked with nothing; a text of fewer words
 than a shingle is one shingle; rows with a null id take part, but a component's id is the smallest id that is not null;
-repeated rows each return; an empty table gives an empty result. Extra columns do not take part.
+repeated rows each return; very long texts count whole, in memory of one text and its set; equal similarity needs no order,
+as all links count; an empty table gives an empty result. Extra columns do not take part.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import fresh, small, spill
+from .common import fresh, settled, small, spill
 from .components import components
 from .shingles import Sketcher, Tensor
 
@@ -43,12 +45,11 @@ def mark_of(text_col: str) -> Column:
 
 
 def sketches(docs: DataFrame, how: Tensor, id_col: str, text_col: str) -> DataFrame:
-    """(id, mark, n_shingles, node, tuples); mark is a digest of the text, node is null for an empty set."""
+    """(id, mark, n_shingles, half, other, tuples); mark is a digest of the text, half and other that of the set, null if it is empty."""
     ship(docs.sparkSession)
 
     def work(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        import xxhash
 
         sketcher = Sketcher(how)
         for batch in small(batches):
@@ -56,11 +57,23 @@ def sketches(docs: DataFrame, how: Tensor, id_col: str, text_col: str) -> DataFr
             for text in batch.column(2):
                 s = sketcher.shingles(text.as_py())
                 size.append(len(s))
-                node.append(None if not len(s) else xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63))
+                node.append(sketcher.name(s) if len(s) else (None, None))
                 tuples.append(sketcher.tuples(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(tuples, pa.list_(pa.int64()))], names=["id", "mark", "n_shingles", "node", "tuples"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size, pa.int64()), *(pa.array([n[k] for n in node], pa.int64()) for k in range(2)), pa.array(tuples, pa.list_(pa.int64()))], names=["id", "mark", "n_shingles", "half", "other", "tuples"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), mark_of(text_col).alias("mark"), F.col(text_col).cast("binary")).mapInArrow(work, "id long, mark long, n_shingles long, node long, tuples array<long>")
+    return docs.select(F.col(id_col).cast("long").alias("id"), mark_of(text_col).alias("mark"), F.col(text_col).cast("binary")).mapInArrow(work, "id long, mark long, n_shingles long, half long, other long, tuples array<long>")
+
+
+def named(classes: DataFrame) -> DataFrame:
+    """classes with `node`, a long of its own for each pair of half and other: half, where no other class has it."""
+    out, tries = classes.withColumn("node", F.col("half")), 0
+    while True:
+        twice = spill(out.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("node", F.lit(True).alias("twice")), "twice")
+        if twice.isEmpty():
+            return out
+        tries += 1
+        again = F.when(F.col("twice"), F.xxhash64(F.lit(tries), "half", "other")).otherwise(F.col("node"))
+        out = spill(out.join(twice, "node", "left").withColumn("node", again).drop("twice"), "named")
 
 
 def keys_of(classes: DataFrame, how: Tensor) -> DataFrame:
@@ -76,7 +89,7 @@ def keys_of(classes: DataFrame, how: Tensor) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, how: Tensor, id_col: str, text_col: str) -> DataFrame:
-    """(node, shingles) for wanted (id, node): one document of each class is read again."""
+    """(node, shingles) for wanted (id, half, other, node): one document of each class is read again."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("body"))
     ids = wanted.select("id").distinct()
     if ids.count() <= BROADCAST_IDS:
@@ -85,17 +98,16 @@ def sets_of(docs: DataFrame, wanted: DataFrame, how: Tensor, id_col: str, text_c
 
     def work(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        import xxhash
 
         sketcher = Sketcher(how)
         for batch in small(batches):
             sets = [sketcher.shingles(t.as_py()) for t in batch.column(1)]
-            nodes = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([s.view("int64") for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
+            names = [sketcher.name(s) for s in sets]
+            yield pa.RecordBatch.from_arrays([*(pa.array([n[k] for n in names], pa.int64()) for k in range(2)), pa.array([s.view("int64") for s in sets], pa.list_(pa.int64()))], names=["half", "other", "shingles"])
 
-    found = rows.mapInArrow(work, "node long, shingles array<long>")
+    found = rows.mapInArrow(work, "half long, other long, shingles array<long>")
     # an id may stand for several texts, and a text for several ids
-    return found.join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    return found.join(wanted.select("half", "other", "node"), ["half", "other"]).select("node", "shingles").dropDuplicates(["node"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -170,25 +182,29 @@ def groups_of(docs: DataFrame, how: Tensor = Tensor(), percent: int = 80, block:
     mark is the digest of the row's text; stays is false where the row's group has an id and the row is not the document,
     an id and a text, that stands for it.
     """
+    return settled(lambda: _groups(docs, how, percent, block, id_col, text_col), "groups")
+
+
+def _groups(docs: DataFrame, how: Tensor, percent: int, block: tuple[int, int], id_col: str, text_col: str) -> DataFrame:
     sigs = spill(sketches(docs, how, id_col, text_col), "sketches")
-    classes = spill(sigs.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.min(F.when(F.col("id").isNotNull(), F.struct("id", "mark"))).alias("head"), F.first("tuples").alias("tuples")), "classes")
-    keys = keys_of(classes, how)
-    keys = spill(keys, "keys")
+    classes = spill(sigs.where("half IS NOT NULL").groupBy("half", "other").agg(F.min("id").alias("id"), F.min(F.when(F.col("id").isNotNull(), F.struct("id", "mark"))).alias("head"), F.first("tuples").alias("tuples")), "classes")
+    classes = named(classes)
+    keys = settled(lambda: keys_of(classes, how), "keys")
     leaders = spill(keys.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "leader"), "leaders")
     members = spill(keys.join(leaders, "key"), "members")
-    sets = spill(sets_of(docs, classes.join(members.select("node").distinct(), "node", "left_semi").select("id", "node"), how, id_col, text_col), "sets")
+    sets = spill(sets_of(docs, classes.join(members.select("node").distinct(), "node", "left_semi").select("id", "half", "other", "node"), how, id_col, text_col), "sets")
     stars = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     links = spill(verified(stars, sets, percent), "verified")
-    labels = spill(components(links), "labels")
-    more = spill(rest(members.select("key", "node"), labels, sets, percent, block), "rest")
+    labels = settled(lambda: components(links), "labels")
+    more = settled(lambda: rest(members.select("key", "node"), labels, sets, percent, block), "rest")
     if more.isEmpty():
         final = labels
     else:
-        final = spill(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more), "closed"), "labels")
-    named = classes.select("node", "head").join(final, "node", "left").select("node", "head", F.coalesce("label", "node").alias("label"))
-    lowest = spill(named.groupBy("label").agg(F.min("head").alias("head")), "lowest")  # null: no row of the group has an id
-    of_node = named.select("node", "label").join(lowest, "label").select("node", "head")
-    joined = sigs.select("id", "mark", "n_shingles", "node").join(of_node, "node", "left")
+        final = settled(lambda: components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more), "closed"), "labels")
+    labelled = classes.select("half", "other", "node", "head").join(final, "node", "left").select("half", "other", "head", F.coalesce("label", "node").alias("label"))
+    lowest = spill(labelled.groupBy("label").agg(F.min("head").alias("head")), "lowest")  # null: no row of the group has an id
+    of_class = labelled.drop("head").join(lowest, "label").select("half", "other", "head")
+    joined = sigs.select("id", "mark", "n_shingles", "half", "other").join(of_class, ["half", "other"], "left")
     stays = F.col("head").isNull() | (F.col("id").eqNullSafe(F.col("head.id")) & (F.col("mark") == F.col("head.mark")))
     return joined.select("id", "n_shingles", F.coalesce("head.id", "id").alias("component"), "mark", stays.alias("stays"))
 
@@ -199,7 +215,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     An id may stand for several texts: each is kept or dropped with its own group. Rows of equal id and text stand or fall
     together, and one of them stays. Rows with a null id stay unless their group has an id.
     """
-    found = spill(groups_of(docs, id_col=id_col, text_col=text_col, **options), "groups")
+    found = groups_of(docs, id_col=id_col, text_col=text_col, **options)
     gone = found.where("NOT stays").select(F.col("id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct()
     again = found.where("stays AND id IS NOT NULL").groupBy(F.col("id").alias("again_id"), F.col("mark").alias("again_mark")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("again_id", "again_mark")
     gone, again = (F.broadcast(x) if x.count() <= BROADCAST_IDS else x for x in (spill(gone, "gone"), spill(again, "again")))

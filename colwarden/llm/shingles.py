@@ -13,6 +13,8 @@ class Tensor:
     width: int = 2
     words: int = 4
     seed: int = 1
+    #: Of the first half of a set's digest: fewer than 64 only to test that sets of one short name are told apart.
+    name_bits: int = 64
 
 
 class Sketcher:
@@ -56,6 +58,13 @@ class Sketcher:
             out ^= out >> np.uint64(29)
         return np.unique(out)
 
+    def name(self, shingles) -> tuple[int, int]:
+        """A digest of 128 bits, as two signed halves."""
+        import xxhash
+
+        whole = xxhash.xxh3_128_intdigest(shingles.tobytes())
+        return ((whole & ((1 << self.how.name_bits) - 1)) - (1 << 63), (whole >> 64) - (1 << 63))
+
     def tuples(self, shingles):
         """int64 tuples, first collection then second. Equal with probability similarity ** width."""
         import numpy as np

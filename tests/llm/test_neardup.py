@@ -90,6 +90,13 @@ def test_dense_group_near_the_threshold(spark):
     check(spark, rows, block=(50, 6_000))
 
 
+def test_sets_with_one_short_name_are_told_apart(spark):
+    rng = random.Random(8)
+    base = [[f"w{rng.randrange(5_000)}" for _ in range(60)] for _ in range(12)]
+    rows = [(k, " ".join(edited(rng, base[k % 12], 0.02))) for k in range(60)] + [(100 + k, " ".join(base[k])) for k in range(12)]
+    check(spark, rows, how=neardup.Tensor(name_bits=3))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (201, 202), (300, 300), (5, 5)] + [(500, 500 + k) for k in range(1, 60)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
