@@ -107,7 +107,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, how: Tensor, id_col: str, text_c
 
     found = rows.mapInArrow(work, "half long, other long, shingles array<long>")
     # an id may stand for several texts, and a text for several ids
-    return found.join(wanted.select("half", "other", "node"), ["half", "other"]).select("node", "shingles").dropDuplicates(["node"])
+    return found.join(wanted.select("half", "other", "node"), ["half", "other"]).dropDuplicates(["half", "other"]).select("node", "shingles")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
