@@ -5,7 +5,7 @@ columns of docs. run() writes each stage's result as Parquet to shared storage a
 
 All stages take whole texts, however long; an empty table gives an empty one; other columns pass through. What each does
 with nulls, empty texts, repeated rows and ties is stated at its operator: a null or empty text is clean, has no near
-duplicate, no secret, no words to mix and no ids; repeated rows are judged alike, and near-duplicate removal keeps one.
+duplicate, no secret, no words to mix and no ids; repeated rows are judged alike, and near-duplicate removal keeps one of those with an id.
 """
 
 from __future__ import annotations
