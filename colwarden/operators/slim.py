@@ -19,13 +19,14 @@ class MissingFields(ValueError):
 
 
 def slim(df: DataFrame, fields: Sequence[str] = CONTRACT_FIELDS) -> DataFrame:
-    """The contract's columns in its order. Names must be equal, case included; a pure projection, so the scan reads no
-    other column. Raises MissingFields before anything runs.
+    """The contract's columns in its order. Names must be equal, case included, whatever the session says of case; a pure
+    projection, so the scan reads no other column. Of columns of one name the first counts. Raises MissingFields before
+    anything runs.
     """
-    have = set(df.columns)
-    if gone := [f for f in fields if f not in have]:
+    first = {name: i for i, name in reversed(list(enumerate(df.columns)))}
+    if gone := [f for f in fields if f not in first]:
         raise MissingFields(gone)
-    return df.select([F.col(f"`{f.replace('`', '``')}`") for f in fields])
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).select([F.col(f"c{first[f]}").alias(f) for f in fields])
 
 
 def typed(df: DataFrame) -> DataFrame:

@@ -12,11 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import GreaterThanOrEqual, In, LessThan
 
 from .functions import scalar
-from .operators import compare, report, slim, verify
+from .operators import compare, json_fields, report, slim, verify
+from .operators.account import typed_layer
+from .operators.near_miss import near_misses
 from .plans.contract import CONTRACT_FIELDS, EARLIER_CONTRACT_FIELDS, ETL_FIELDS, PROBED_FIELD, relation, values_sql
 from .sources.archive import archive_headers
 from .sources.archive_table import archive_files, entries_of, entry_rows, first_headers, read_pruned, write_archives
+from .sources.footers import table_profile, type_problems
 from .sources.jobs import ExportJob, ExportRequest
+from .sources.slim_sink import load_window, read_slim
 from .sources.storage import workspace
 from .streaming.landing import first_ends, within_limit
 from .streaming.poll_log import poll_ends, run_available
@@ -357,3 +361,89 @@ def poll_stream(spark, sf_dir):
         begun = F.lit("2024-01-01").cast("timestamp_ntz")
         run_available(poll_ends(polls, "user_id", "ts", "event_id", "status", begun, 2880, "8 days"), out, checkpoint)
     return spark.read.schema("user_id LONG, state STRING, ended_at TIMESTAMP_NTZ").parquet(out)
+
+
+#: Spark's names of DuckDB's types, as SQL.
+_TYPE = "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' END"
+#: A contract of names and types over the tables; two are wrong and one is missing wherever they are asked.
+TYPED_CONTRACT = {"doc_id": "bigint", "text": "string", "value": "int", "ts": "timestamp_ntz", "award_id_piid": "string"}
+_NAMES = " UNION ALL ".join(f"SELECT '{t}' AS source, column_name AS field, {_TYPE} AS type FROM (DESCRIBE {t})" for t in TABLES)
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{t}' AS source, d.field, d.type, (SELECT count(*) FROM {t}) AS n_rows, CASE WHEN d.type NOT LIKE 'array%' THEN u.n_null END AS n_null
+FROM (SELECT column_name AS field, {_TYPE} AS type FROM (DESCRIBE {t})) d JOIN (UNPIVOT (SELECT count(*) - count(COLUMNS('(.*)')) AS '\\1' FROM {t}) ON COLUMNS(*) INTO NAME field VALUE n_null) u ON u.field = d.field"""
+        for t in TABLES
+    )
+)
+def footer_profile(spark, sf_dir):
+    """Types, rows and nulls of every column of every table, from footers alone."""
+    return table_profile(spark, {t: f"{sf_dir}/{t}.parquet" for t in TABLES}).drop("pos")
+
+
+@query(f"""SELECT t.source, w.field, CASE WHEN h.type IS NULL THEN 'missing' ELSE 'type ' || h.type || ', not ' || w.want END AS problem
+FROM (SELECT DISTINCT source FROM ({_NAMES})) t CROSS JOIN (VALUES {", ".join(f"('{f}', '{k}')" for f, k in TYPED_CONTRACT.items())}) w(field, want)
+LEFT JOIN ({_NAMES}) h ON h.source = t.source AND h.field = w.field WHERE h.type IS DISTINCT FROM w.want""")
+def footer_contract(spark, sf_dir):
+    """What each table lacks of a contract of names and types."""
+    return type_problems(table_profile(spark, {t: f"{sf_dir}/{t}.parquet" for t in TABLES}), TYPED_CONTRACT, "source")
+
+
+@query("""SELECT e.key AS field, CASE json_type(e.value) WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'number' WHEN 'VARCHAR' THEN 'text'
+WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE lower(json_type(e.value)) END AS kind, count(*) AS n FROM events, json_each(props) e GROUP BY ALL
+UNION ALL SELECT NULL, 'object', count(*) FROM events WHERE json_type(props) = 'OBJECT' HAVING count(*) > 0""")
+def json_fields_events(spark, sf_dir):
+    """Keys and kinds in the documents of events, with counts."""
+    return json_fields.json_fields(table(spark, sf_dir, "events"), "props")
+
+
+@query("""SELECT 'k' AS field, 'integer' AS kind, count(*) FILTER (WHERE json_type(props, '$.k') IN ('BIGINT', 'UBIGINT')) AS fitting,
+count(*) FILTER (WHERE json_type(props, '$.k') NOT IN ('BIGINT', 'UBIGINT')) AS other_kind, count(*) FILTER (WHERE json_type(props, '$.k') IS NULL) AS absent FROM events
+UNION ALL SELECT 'status_url', 'text', count(*) FILTER (WHERE json_type(props, '$.status_url') = 'VARCHAR'),
+count(*) FILTER (WHERE json_type(props, '$.status_url') <> 'VARCHAR'), count(*) FILTER (WHERE json_type(props, '$.status_url') IS NULL) FROM events""")
+def json_contract_events(spark, sf_dir):
+    """Whether the documents of events keep a contract of keys and kinds."""
+    return json_fields.json_contract(json_fields_events(spark, sf_dir), {"k": "integer", "status_url": "text"})
+
+
+@query(f"SELECT {', '.join(SLIM_LINEITEM)} FROM lineitem")
+def slim_sink_replay(spark, sf_dir):
+    """lineitem through the slim sink: all of it, one year again, and the years from then on again, read back."""
+    rows, path = table(spark, sf_dir, "lineitem"), workspace(spark, "slim")
+    for start, end in ((None, None), ("1995-01-01", "1996-01-01"), ("1995-01-01", None)):
+        load_window(rows, path, "l_shipdate", start, end, SLIM_LINEITEM)
+    return read_slim(spark, path)
+
+
+_RAW_EVENTS = "SELECT event_id, props->>'$.k' AS k, '2024-02-' || lpad(props->>'$.k', 2, '0') AS day, value::VARCHAR AS value FROM events"
+
+
+@query(f"""WITH raw AS ({_RAW_EVENTS}), cast_ AS (SELECT *, try_cast(k AS DECIMAL(3, 2)) AS k_, try_cast(day AS DATE) AS day_ FROM raw)
+SELECT 'k' AS field, 'decimal(3,2)' AS kind, count(*) AS n_rows, count(*) - count(k) AS n_null, count(*) FILTER (WHERE k IS NOT NULL AND k_ IS NULL) AS n_failed FROM cast_
+UNION ALL SELECT 'day', 'date', count(*), count(*) - count(day), count(*) FILTER (WHERE day IS NOT NULL AND day_ IS NULL) FROM cast_""")
+def typed_account(spark, sf_dir):
+    """Failed casts of texts of events, counted while the typed layer is written."""
+    return _typed_events(spark, sf_dir).account
+
+
+@query(f"""WITH raw AS ({_RAW_EVENTS}), cast_ AS (SELECT event_id, k, day, try_cast(k AS DECIMAL(3, 2)) AS k_, try_cast(day AS DATE) AS day_ FROM raw)
+SELECT event_id, k, day, list_filter([CASE WHEN k IS NOT NULL AND k_ IS NULL THEN 'k' END, CASE WHEN day IS NOT NULL AND day_ IS NULL THEN 'day' END], lambda x: x IS NOT NULL) AS failed_fields
+FROM cast_ WHERE k IS NOT NULL AND k_ IS NULL OR day IS NOT NULL AND day_ IS NULL""")
+def typed_rejects(spark, sf_dir):
+    """The rows that the same pass kept out of the typed layer, with what failed."""
+    return _typed_events(spark, sf_dir).rejected
+
+
+def _typed_events(spark, sf_dir):
+    key = scalar.handle(F.col("props"), "k")
+    raw = table(spark, sf_dir, "events").select("event_id", key.alias("k"), F.concat(F.lit("2024-02-"), F.lpad(key, 2, "0")).alias("day"))
+    return typed_layer(raw, {"k": "decimal(3,2)", "day": "date"}, workspace(spark, "typed"))
+
+
+@query(f"""WITH names AS (SELECT DISTINCT field FROM ({_NAMES})) SELECT a.field, b.field AS near, levenshtein(a.field, b.field)::INT AS distance
+FROM names a JOIN names b ON a.field <> b.field AND levenshtein(a.field, b.field) <= 2""")
+def near_miss_names(spark, sf_dir):
+    """For every column name of the tables the other names within two edits."""
+    found = discovered_fields(spark, sf_dir)
+    return near_misses(found, found)

@@ -1,0 +1,61 @@
+"""Footers as data."""
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+
+from colwarden.sources.footers import file_footers, footer_counts, table_profile, type_problems
+
+SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.string()), ("c", pa.list_(pa.int32())), ("t", pa.timestamp("us"))])
+
+
+def written(folder):
+    (folder / "sub").mkdir()
+    table = pa.table({"a": [1, None, 3, None, None], "b": ["x", "", None, "y", "z"], "c": [[1], [], None, [2, None], [3]], "t": [0, 1, None, 3, 4]}, SCHEMA)
+    pq.write_table(table, folder / "one.parquet", row_group_size=2)
+    pq.write_table(table.slice(0, 0), folder / "sub" / "none.parquet")
+    pq.write_table(table.select(["b"]).append_column("a", pa.array([1.5] * 5)), folder / "sub" / "other.parquet")
+    (folder / "broken.parquet").write_bytes(b"PAR1 not a footer")
+    (folder / "empty.parquet").write_bytes(b"")
+    return table
+
+
+def test_file_footers(spark, tmp_path):
+    written(tmp_path)
+    got = [(r.path.rpartition("/")[2], r.pos, r.field, r.type, r.row_group, r.n_rows, r.n_null) for r in file_footers(spark, str(tmp_path)).where("reason IS NULL").collect()]
+    want = [("one.parquet", 0, "a", "bigint", g, n, k) for g, n, k in ((0, 2, 1), (1, 2, 1), (2, 1, 1))]
+    want += [("one.parquet", 1, "b", "string", g, n, k) for g, n, k in ((0, 2, 0), (1, 2, 1), (2, 1, 0))]
+    want += [("one.parquet", 2, "c", "array<int>", g, n, None) for g, n in ((0, 2), (1, 2), (2, 1))]
+    want += [("one.parquet", 3, "t", "timestamp_ntz", g, n, k) for g, n, k in ((0, 2, 0), (1, 2, 1), (2, 1, 0))]
+    want += [("other.parquet", 0, "b", "string", 0, 5, 1), ("other.parquet", 1, "a", "double", 0, 5, 0)]
+    none = sorted(r for r in got if r[0] == "none.parquet")
+    assert [(r[2], r[3], r[5]) for r in none] == [("a", "bigint", 0), ("b", "string", 0), ("c", "array<int>", 0), ("t", "timestamp_ntz", 0)]
+    assert sorted(map(str, (r for r in got if r[0] != "none.parquet"))) == sorted(map(str, want))
+    bad = {r.path.rpartition("/")[2]: r.reason for r in file_footers(spark, str(tmp_path)).where("reason IS NOT NULL").collect()}
+    assert bad.keys() == {"broken.parquet"} and all(v.startswith("no footer") for v in bad.values())
+
+
+def test_type_problems(spark, tmp_path):
+    written(tmp_path)
+    wanted = {"a": "bigint", "t": "timestamp_ntz"}
+    got = {(r.path.rpartition("/")[2], r.field, r.problem) for r in type_problems(file_footers(spark, str(tmp_path)), wanted).collect()}
+    lost = {("broken.parquet", n, "missing") for n in wanted}
+    assert got == lost | {("other.parquet", "a", "type double, not bigint"), ("other.parquet", "t", "missing")}
+    assert type_problems(file_footers(spark, str(tmp_path)), {}).count() == 0
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    table = pa.table({"a": [1, None, 3], "b": ["x", None, None], "c": [[1], None, []], "t": [0, None, 2]}, SCHEMA)
+    pq.write_table(table, tmp_path / "t.parquet")
+    plan = footer_counts(spark, str(tmp_path / "t.parquet"))._jdf.queryExecution().toString()
+    assert "PushedAggregation: [COUNT(*), COUNT(a), COUNT(b), COUNT(t)]" in plan
+    got = table_profile(spark, {"t": str(tmp_path / "t.parquet")}).orderBy("pos").collect()
+    assert [tuple(r)[2:] for r in got] == [("a", "bigint", 3, 1), ("b", "string", 3, 2), ("c", "array<int>", 3, None), ("t", "timestamp_ntz", 3, 1)]
+    # the caller's session keeps its own reader
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_empty_and_nested_tables(spark, tmp_path):
+    pq.write_table(pa.table({"a": pa.array([], pa.int64())}), tmp_path / "e.parquet")
+    pq.write_table(pa.table({"c": pa.array([[1], None], pa.list_(pa.int32()))}), tmp_path / "n.parquet")
+    got = table_profile(spark, {k: str(tmp_path / f"{k}.parquet") for k in "en"}).orderBy("source").collect()
+    assert [tuple(r) for r in got] == [("e", 0, "a", "bigint", 0, 0), ("n", 0, "c", "array<int>", 2, None)]

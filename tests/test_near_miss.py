@@ -1,0 +1,46 @@
+"""Near misses against brute force."""
+
+import random
+
+import pytest
+
+from colwarden.operators.near_miss import near_misses
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        above, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            above, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, above + (x != y))
+    return row[-1]
+
+
+def names(seed, n):
+    r = random.Random(seed)
+    made = ["", "a", "ab", "ba", "abc", "cba", "aaaa", "aaaaaa", "award_id_piid", "award_id_pid", "awardidpiid", "Award_id_piid"]
+    while len(made) < n:
+        base = r.choice(made)
+        at = r.randrange(len(base) + 1)
+        made.append(r.choice((base[:at] + r.choice("abé_") + base[at:], base[:at] + base[at + 1 :], "".join(r.choice("ab_") for _ in range(r.randrange(9))))))
+    return made
+
+
+@pytest.mark.parametrize(("k", "q"), [(1, 2), (2, 2), (2, 3), (3, 2)])
+def test_brute_force(spark, k, q):
+    a, b = names(k, 120), names(q + 10, 150)
+    side = lambda rows: spark.createDataFrame([(x, 0) for x in [*rows, None, rows[0]]], "field STRING, gram INT")
+    got = [tuple(r) for r in near_misses(side(a), side(b), k, q).collect()]
+    want = {(x, y, distance(x, y)) for x in set(a) for y in set(b) if x != y and distance(x, y) <= k}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+
+
+def test_empty(spark):
+    none, some = spark.createDataFrame([], "field STRING"), spark.createDataFrame([("a",)], "field STRING")
+    assert near_misses(none, some).count() == near_misses(some, none).count() == 0
+
+
+def test_no_cross_join(spark):
+    some = spark.createDataFrame([("a",)], "field STRING")
+    plan = near_misses(some, some)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
