@@ -114,3 +114,45 @@ def test_stored_ledger_scans_unseen_blobs_only(spark, tmp_path, monkeypatch):
         sl.scan_into(more, ledger, newer)
         assert scanned == [8, 0, 1, 9, 0]
         assert ledger.read(spark).count() == 9 * 3 + 9
+
+
+def exchanges_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_buckets_of_a_small_scan(spark, tmp_path):
+    """A small scan opens the buckets of its blobs only, and a large one moves no entry of the ledger."""
+    ledger = sl.Ledger(f"file://{tmp_path}/ledger")
+    docs = spark.createDataFrame([(i, f"text {i} token=abcdef{i}") for i in range(2_000)], "doc_id long, text string")
+    sl.scan_into(docs, ledger)
+    known = ledger.read(spark)
+    blobs = [r[0] for r in known.select("blob").limit(1).collect()]
+    # buckets are pruned in either kind of scan; the plan tells their number in one of them
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        assert "SelectedBucketsCount: 1 out of 16" in exchanges_of(known.where(F.col("blob").isin(blobs)))
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    own = known.dropDuplicates(["blob", "rule", "version"]).groupBy("blob").count()
+    assert "Exchange" not in exchanges_of(own)
+    more = docs.limit(3).unionByName(spark.createDataFrame([(9_999, "secret=zzzzzzz")], docs.schema))
+    keys, entries = sl.scan_into(more, ledger)
+    assert entries.count() == 4 * 3 and ledger.read(spark).count() == 2_001 * 3
+    files = lambda: [p for p in (tmp_path / "ledger").rglob("*.parquet")]
+    assert len(files()) == 17
+    before = sorted(map(str, ledger.read(spark).collect()))
+    ledger.compact(spark)
+    assert sorted(map(str, ledger.read(spark).collect())) == before and len(files()) == 16
+    assert [n for _, n in ledger.layouts(spark)] == [16]
+    keys, entries = sl.scan_into(docs, ledger)
+    assert entries.count() == 6_000 and ledger.read(spark).count() == 2_001 * 3
+    assert [sl.Ledger("x", 100).next_layout(0, n)[1] for n in (0, 1_600, 1_601, 10_000, 10**9)] == [16, 16, 32, 128, 16_384]
+
+
+def test_history_goes_with_the_row(spark):
+    rows = [(1, "token=abcdef12", "a.py", 1), (1, "clean", "a.py", 2), (2, "token=abcdef12", "b.py", 1), (None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, path string, version int")
+    got = sl.findings(*sl.scan(docs, history=("path", "version"))).collect()
+    assert sorted(((r.id, r.path, r.version, len(r.spans)) for r in got), key=str) == sorted([(1, "a.py", 1, 1), (1, "a.py", 2, 0), (2, "b.py", 1, 1), (None, None, None, 0)], key=str)
+    with pytest.raises(ValueError, match="history"):
+        sl.scan(docs.withColumnRenamed("path", "Blob"), history=("Blob",))
