@@ -11,7 +11,7 @@ merge; texts are therefore cut before runs of space marks and around line feeds,
 
 Defined results: null is encoded as the empty text, without ids; characters outside the vocabulary become byte pieces, or
 the unknown id where the model has none; rows, ids, order and repeated rows stay as they are; an empty table stays empty.
-Extra columns are passed through, the new columns' names are made fresh by the caller's choice of names.
+Extra columns are passed through; where one has the name of a new column, whatever the case, the new one's begins with `_`.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..shipping import ship
+from .common import fresh
 
 SPACE = "▁"
 
@@ -206,10 +207,12 @@ def codec(model_path: str) -> Codec:
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_as: str = "ids", decoded_as: str = "decoded", rows: int = 256) -> DataFrame:
     """docs without text_col, with its ids (array<int>) and the text that these decode to. A map: nothing is shuffled.
 
-    model_path must be readable on every executor. rows: batch size of what is returned, which bounds memory.
+    model_path must be readable on every executor. rows: batch size of what is returned, which bounds memory. The new
+    columns are the last two.
     """
     ship(docs.sparkSession)
     kept = [f for f in docs.schema.fields if f.name != text_col]
+    ids_as, decoded_as = fresh(docs.drop(text_col), ids_as, decoded_as)
     schema = T.StructType([*kept, T.StructField(ids_as, T.ArrayType(T.IntegerType(), False)), T.StructField(decoded_as, T.StringType())])
 
     def work(batches: Iterator) -> Iterator:

@@ -55,6 +55,13 @@ def test_tables(spark, library):
     assert sp_codec.encode(df.limit(0), default_model()).count() == 0
 
 
+def test_clashing_names(spark, library):
+    df = spark.createDataFrame([(1, "a b", "mine", "x", 7)], "doc_id long, text string, IDS string, decoded string, _ids int")
+    coded = sp_codec.encode(df, default_model())
+    assert coded.columns == ["doc_id", "IDS", "decoded", "_ids", "__ids", "_decoded"]
+    assert tuple(coded.first()) == (1, "mine", "x", 7, library.encode("a b"), "a b")
+
+
 def test_query(spark, library):
     sf = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf}/documents.parquet").collect()
