@@ -2,13 +2,17 @@
 
 A text's sparse features are its distinct lower-cased words and their leading 4 and 6 letters, so inflected forms share
 weight. For ordered grades 0..K, P(grade > k) = sigmoid(w x - theta_k) with one weight vector for all thresholds, and
-theta ascending. Weights get an L1 penalty, and only features significantly more frequent in higher grades are
-let in, so that a long clean text does not add up small noise. The result is the expected severity, the sum of P(grade > k) over k.
+theta ascending. Weights get an L1 penalty, which chooses among all features that are more frequent in higher grades by
+more than chance: least_z standard errors, which 3 of a million features that mean nothing would reach, in at least
+least_rows rows. Without that a long clean text adds up small noise. No number of features is set. The result is the
+expected severity, the sum of P(grade > k) over k.
 
 Fit: a bounded sample of labelled ids (about per_label of each label, drawn by a hash of the id), joined to the documents
-by a broadcast of just these ids, one row for each id: that with the smallest text. Feature hashes of these rows go to the
-driver, where features are chosen and the convex problem is solved by accelerated proximal gradient steps; the chosen
-features are then looked up as strings in the sample, and texts are scored by strings. Labels of two values are made three
+by a broadcast of just these ids, one row for each id: that with the smallest text. Of rows with one label and the same
+copy_features or more features, which are copies, one is fitted, as otherwise every word of a text with many copies tells
+something; fewer features do not make a copy. Feature hashes of these rows,
+most_bytes at most in all, go to the driver, where the convex problem is solved by accelerated proximal gradient steps on a
+sparse matrix; features with weight are then looked up as strings in the sample, and texts are scored by strings. Labels of two values are made three
 grades: positive rows that hold more telling features than the median positive are grade 2, which ranks them by the number
 of telling features and is no label of its own. Labels with more values are used as they are.
 
@@ -23,7 +27,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
@@ -36,9 +40,9 @@ _WORD = re.compile(r"[^\W\d_]+")
 class Settings:
     per_label: int = 4_000
     most_labels: int = 64  # bounds the sample, as per_label does; with more, an error tells so
-    features: int = 1_000
+    most_bytes: int = 64 << 20  # of feature hashes, 4 bytes each; texts of a label beyond its part of them are not fitted
+    copy_features: int = 32
     least_rows: int = 3
-    least_share: float = 0.005
     least_z: float = 4.5
     l1: float = 1e-5
     steps: int = 2_000
@@ -96,8 +100,31 @@ class Model:
         return score
 
 
+class Presence:
+    """A sparse matrix of ones, in as many columns as features: row of[i] has column at[i]."""
+
+    def __init__(self, of, at, shape: tuple[int, int]):
+        self.of, self.at, self.shape = of, at, shape
+
+    @property
+    def T(self) -> Presence:  # noqa: N802
+        return Presence(self.at, self.of, self.shape[::-1])
+
+    def __matmul__(self, v):
+        import numpy as np
+
+        return np.bincount(self.of, v[self.at], self.shape[0])
+
+    def mean(self, axis: int):
+        import numpy as np
+
+        return np.bincount(self.at if axis == 0 else self.of, minlength=self.shape[1 - axis]) / self.shape[axis]
+
+
 def solve(x, grades, how: Settings):
-    """Weights and thresholds that minimise the mean cumulative-link loss plus l1 times the sum of weights, by FISTA.
+    """x: Presence, or an array.
+
+    Weights and thresholds that minimise the mean cumulative-link loss plus l1 times the sum of weights, by FISTA.
 
     Weights are held at 0 or more, so no text gets milder by added words, and thetas in ascending order.
     """
@@ -106,18 +133,17 @@ def solve(x, grades, how: Settings):
     n, k = len(grades), int(grades.max())
     above = (grades[:, None] > np.arange(k)).astype(np.float64)
     base = above.mean(axis=0).clip(1e-3, 1 - 1e-3)
-    scale = 1 / np.sqrt(x.mean(axis=0, dtype=np.float64).clip(1e-6))  # rare and frequent features then converge alike
-    x = x * scale.astype(x.dtype)
-    v = np.ones(x.shape[1], x.dtype)
+    scale = 1 / np.sqrt(x.mean(axis=0).clip(1e-6))  # rare and frequent features then converge alike
+    turned, v = x.T, np.ones(x.shape[1])
     for _ in range(20):  # the largest eigenvalue, for the step
-        v = x.T @ (x @ v)
+        v = scale * (turned @ (x @ (scale * v)))
         v /= max(np.linalg.norm(v), 1e-12)
-    step = 4.0 / (k * (float(np.linalg.norm(x @ v) ** 2) / n + 1.0))
+    step = 4.0 / (k * (float(np.linalg.norm(x @ (scale * v)) ** 2) / n + 1.0))
     w, theta = np.zeros(x.shape[1]), np.log((1 - base) / base)
     look_w, look_t, t = w.copy(), theta.copy(), 1.0
     for _ in range(how.steps):
-        error = 1 / (1 + np.exp(-np.clip((x @ look_w.astype(x.dtype))[:, None] - look_t, -30, 30))) - above
-        new_w = np.maximum(look_w - step * (x.T @ error.sum(axis=1).astype(x.dtype) / n + how.l1 * scale), 0)
+        error = 1 / (1 + np.exp(-np.clip((x @ (scale * look_w))[:, None] - look_t, -30, 30))) - above
+        new_w = np.maximum(look_w - step * scale * ((turned @ error.sum(axis=1)) / n + how.l1), 0)
         new_t = np.maximum.accumulate(look_t + step * error.mean(axis=0))
         last, t = t, (1 + (1 + 4 * t * t) ** 0.5) / 2
         look_w, look_t = new_w + (last - 1) / t * (new_w - w), new_t + (last - 1) / t * (new_t - theta)
@@ -126,9 +152,11 @@ def solve(x, grades, how: Settings):
 
 
 def train(rows: list[tuple[object, int]], how: Settings = Settings(), spell=dict) -> Model:
-    """rows: (distinct feature hashes as uint32 array, label). spell gives the feature of each hash of a list, as a dict."""
+    """rows: (distinct feature hashes as uint32 array, sorted, label). spell gives the feature of each hash of a list, as a dict."""
     import numpy as np
 
+    first = {(h.tobytes(), y) if len(h) >= how.copy_features else i: i for i, (h, y) in reversed(list(enumerate(rows)))}
+    rows = [rows[i] for i in sorted(first.values())]
     labels = np.array([y for _, y in rows], np.int64)
     if len(set(labels.tolist())) < 2:
         return Model()
@@ -142,16 +170,14 @@ def train(rows: list[tuple[object, int]], how: Settings = Settings(), spell=dict
     in_good = in_all - in_bad
     n_bad, n_good, share = bad.sum(), (~bad).sum(), in_all / len(rows)
     z = (in_bad / n_bad - in_good / n_good) / np.sqrt((share * (1 - share)).clip(1e-9) * (1 / n_bad + 1 / n_good))
-    z[in_bad < max(how.least_rows, how.least_share * n_bad)] = 0
-    chosen = np.argsort(-z, kind="stable")[: how.features]
-    chosen = chosen[z[chosen] > how.least_z]
-    place = np.full(len(names), -1)
-    place[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(rows), len(chosen)), np.float32)
-    hit = place[at] >= 0
-    x[of[hit], place[at[hit]]] = 1
+    z[in_bad < how.least_rows] = 0
+    chosen = np.flatnonzero(z > how.least_z)
+    place = np.full(len(names), -1, np.int32)
+    place[chosen] = np.arange(len(chosen), dtype=np.int32)
+    at = place[at]
+    x = Presence(of[at >= 0], at[at >= 0], (len(rows), len(chosen)))
     if grades.max() == 1 and bad.sum() > 1:
-        telling = np.bincount(of, (z > how.least_z)[at], len(rows))
+        telling = np.bincount(x.of, minlength=len(rows))
         grades = grades + (bad & (telling > np.median(telling[bad])))
     w, theta = solve(x, grades, how)
     weights = {int(names[c]): float(v) for c, v in zip(chosen, w, strict=True) if v}
@@ -188,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, how: Settings = Settings(), id_col:
 
     def spell(hashes: list[int]) -> dict[int, str]:
         """The feature of each hash; of several with one hash, that of the most rows of the sample."""
-        wanted = frozenset(hashes)  # at most Settings.features
+        wanted = frozenset(hashes)  # each is in least_rows rows of the sample or more, whose hashes are bounded
 
         def names(batches: Iterator) -> Iterator:
             import pyarrow as pa
@@ -205,14 +231,19 @@ def fit(docs: DataFrame, labels: DataFrame, how: Settings = Settings(), id_col:
 
     import numpy as np
 
-    got = sorted(tuple(r) for r in own.mapInArrow(work, "id long, label int, features binary").collect())
+    coded = own.mapInArrow(work, "id long, label int, features binary")
+    order = Window.partitionBy("label").orderBy(F.xxhash64("id", F.lit(how.seed)), "id")
+    ranked = coded.withColumn("nth", F.row_number().over(order)).withColumn("bytes", F.sum(F.length("features")).over(order))
+    # the first row of a label stays, however long
+    within = (F.col("nth") <= int(1.5 * how.per_label)) & (F.col("bytes") <= how.most_bytes // max(1, len(per)))
+    got = sorted((r["id"], r["label"], bytes(r["features"])) for r in ranked.where(within | (F.col("nth") == 1)).select("id", "label", "features").collect())
     return train([(np.frombuffer(f, np.uint32), y) for _, y, f in got], how, spell)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, severity, grade, toxic, kept) for every row; toxic where P(grade > 0) is over a half. A map."""
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most Settings.features weights
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # fewer weights than the sample has hashes, which are bounded
 
     def work(batches: Iterator) -> Iterator:
         import pyarrow as pa

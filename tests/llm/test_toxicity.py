@@ -124,3 +124,47 @@ def test_more_telling_words_mean_more_severity(spark):
     out = {r["doc_id"]: r["severity"] for r in tx.score(df, model).collect()}
     mean = [np.mean([out[i] for i, _, n in data[600:] if n == k]) for k in range(4)]  # rows left out of the fit
     assert mean[0] < 0.2 and mean[0] < mean[1] < mean[2] < mean[3]
+
+
+def test_sparse_and_dense_products_solve_alike():
+    rng = np.random.default_rng(3)
+    x = (rng.random((200, 9)) < 0.3).astype(float)
+    grades = (x[:, 0] + x[:, 1] + rng.random(200) > 1.2).astype(int)
+    of, at = np.nonzero(x)
+    how = tx.Settings(l1=1e-3, steps=500)
+    (a, s), (b, t) = tx.solve(x, grades, how), tx.solve(tx.Presence(of, at, x.shape), grades, how)
+    assert np.allclose(a, b) and np.allclose(s, t)
+
+
+def test_bytes_of_the_fit_are_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(tx, "train", lambda rows, how, spell: seen.append(rows) or tx.Model())
+    docs = spark.createDataFrame([(i, f"word{'abcdefghij'[i]} of its own") for i in range(10)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, toxic int")
+    tx.fit(docs, labels)
+    size = 4 * len(seen[0][0][0])
+    tx.fit(docs, labels, tx.Settings(most_bytes=2 * 3 * size))
+    assert len(seen[0]) == 10 and [sum(len(f) * 4 for f, y in seen[1] if y == label) for label in (0, 1)] == [3 * size] * 2
+    tx.fit(docs, labels, tx.Settings(most_bytes=0))
+    assert sorted(y for _, y in seen[2]) == [0, 1]  # a text of each label stays
+
+
+def test_copies_count_once():
+    """A toxic text that is there 200 times teaches no more than once."""
+    rng = random.Random(8)
+    calm = [f"calm{i}" for i in range(900)]
+    data = [(set(rng.sample(calm, 40)) | ({"vile"} if i % 4 == 0 else set()), int(i % 4 == 0)) for i in range(400)]
+    copied = {"vile", *(f"plain{i}" for i in range(40))}
+    names = {tx.hashed(w): w for r, _ in data + [(copied, 1)] for w in r}
+    model = tx.train([(np.sort(np.array([tx.hashed(w) for w in r], np.uint32)), y) for r, y in data + [(copied, 1)] * 200], spell=lambda hashes: names)
+    assert set(model.weights) == {"vile"}
+
+
+def test_more_telling_words_than_any_fixed_number():
+    rng = random.Random(2)
+    calm, foul = [f"calm{i}" for i in range(400)], [f"foul{i}" for i in range(1_200)] * 8
+    rng.shuffle(foul)
+    data = [({*foul[i : i + 8], *rng.sample(calm, 20)}, 1) for i in range(0, len(foul), 8)] + [(set(rng.sample(calm, 20)), 0) for _ in range(7_200)]
+    names = {tx.hashed(w): w for r, _ in data for w in r}
+    model = tx.train([(np.sort(np.array([tx.hashed(w) for w in r], np.uint32)), y) for r, y in data], tx.Settings(steps=300), lambda hashes: names)
+    assert len(model.weights) > 1_150 and all(w.startswith("foul") for w in model.weights)
