@@ -1,8 +1,9 @@
 from datetime import datetime, timedelta
 
+import pandas as pd
 from pyspark.sql import functions as F
 
-from colwarden.streaming.poll_log import poll_ends, run_available
+from colwarden.streaming.poll_log import BUCKETS, poll_ends, run_available, watch
 
 SCHEMA = "job STRING, at TIMESTAMP_NTZ, id LONG, status STRING"
 BEGUN = datetime(2024, 1, 1)
@@ -47,3 +48,61 @@ def test_state_goes_after_the_time_to_forget(spark, tmp_path):
     follow(spark, folder, forget=30)
     land(spark, folder, [("a", at(152), 4, "finished"), ("c", at(170), 5, "running")])
     assert follow(spark, folder, forget=30).count(("a", "timed out", None)) == 1  # forgotten, so told again: keep it above the lateness
+
+
+def test_calls_and_states_are_by_the_bucket_not_by_the_job(spark, tmp_path):
+    folder, first, n = tmp_path.as_uri(), 2**60, 5 * BUCKETS
+    jobs = spark.range(n + 1).select(F.when(F.col("id") < n, F.col("id") + first).alias("job"), "id")
+    begun = F.lit(BEGUN).cast("timestamp_ntz")
+    minute = lambda k: begun + F.make_dt_interval(mins=F.lit(k))
+    status = F.when(F.col("id") % 3 == 0, "finished").when(F.col("id") % 3 == 1, "error")
+    jobs.select("job", minute(5).alias("at"), F.col("id"), status.alias("status")).write.parquet(f"{folder}/polls")
+    jobs.select("job", minute(5).alias("at"), F.lit(None).cast("long").alias("id"), F.when(F.col("id") == 6, "failed").alias("status")).write.mode("append").parquet(f"{folder}/polls")
+    jobs.limit(1).select("job", minute(200).alias("at"), F.col("id"), F.lit("running").alias("status")).write.mode("append").parquet(f"{folder}/polls")
+    polls = spark.readStream.schema("job LONG, at TIMESTAMP_NTZ, id LONG, status STRING").parquet(f"{folder}/polls")
+    query = run_available(poll_ends(polls, "job", "at", "id", "status", begun, 60, "10 minutes"), f"{folder}/out", f"{folder}/checkpoint")
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= BUCKETS
+    got = {r["job"]: (r["state"], r["ended_at"]) for r in spark.read.parquet(f"{folder}/out").collect()}
+    want = {first + k if k < n else None: (("finished", at(5)), ("failed", at(5)), ("timed out", None))[k % 3] for k in range(n + 1)}
+    assert got == want | {first + 6: ("failed", at(5))}  # a null order comes first
+
+
+class Bucket:
+    """A state as Spark hands it over."""
+
+    kept, timer, hasTimedOut = None, None, False  # noqa: N815
+    exists = property(lambda self: self.kept is not None)
+    getOption = property(lambda self: self.kept)  # noqa: N815
+
+    def getCurrentWatermarkMs(self):  # noqa: N802
+        return self.now
+
+    def update(self, value):
+        self.kept = value
+
+    def remove(self):
+        self.kept = None
+
+    def setTimeoutTimestamp(self, ms):  # noqa: N802
+        self.timer = ms
+
+
+def test_told_jobs_are_forgotten_though_rows_of_others_go_on():
+    follow, bucket = watch(1_000_000, 500_000), Bucket()
+
+    def batch(now, *rows):
+        bucket.now, bucket.timer = now, None
+        polls = pd.DataFrame(rows, columns=["job", "micros", "place", "state"])
+        return [tuple(r) for done in follow((0,), iter([polls]), bucket) for r in done.values.tolist()]
+
+    assert batch(0, ("a", 3_000, 1, "finished"), ("b", 1_000_000, 2, "pending"), (None, 2_500, 3, "failed")) == []
+    assert bucket.timer == 2  # Spark calls when the watermark is above: at 3, when 2.5 and 3 are final
+    assert batch(3, ("a", 2_000, 9, "failed")) == [("a", "failed", 2_000), (None, "failed", 2_500)]
+    assert bucket.timer == 999
+    assert batch(1_400, ("a", 1_000_000, 4, "pending"), (None, 1_000_000, 4, "pending")) == [("b", "pending", 1_000_000)]  # poll_ends names it timed out
+    assert bucket.timer == 1_499
+    assert batch(1_500, ("a", 1_000_000, 5, "pending"), ("c", 1_000_000, 5, "pending")) == [("c", "pending", 1_000_000)]
+    assert bucket.kept[4] == ["c"] and bucket.timer == 1_500
+    assert batch(1_501, ("a", 1_000_000, 6, "pending")) == [("a", "pending", 1_000_000)]
+    bucket.hasTimedOut = True
+    assert batch(1_502) == [] and not bucket.exists
